@@ -448,15 +448,15 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: str = "n_chars")
     """``docs`` with repeated passages cut from ``text`` and ``length`` renewed; all rows and columns stay."""
     found = covered_starts(docs.select(F.col(text).alias("text"))).withColumnsRenamed({"th": "_th", "t2": "_t2", "spans": "_spans"})
     key = (F.xxhash64(F.col(text)) == F.col("_th")) & ((F.crc32(F.encode(F.col(text), "UTF-8")) % 4096).cast("int") == F.col("_t2"))
-    schema = docs.schema
-    joined = docs.join(found, key, "left").select(*docs.columns, "_spans")
+    schema, names = docs.schema, docs.columns
+    joined = docs.join(found, key, "left").select(*(docs[c] for c in names), "_spans")
 
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in frames:
             texts = [x if x is None else cut_text(x, s) for x, s in zip(b.column(text).to_pylist(), b.column("_spans").to_pylist(), strict=True)]
             new = {text: pa.array(texts, b.schema.field(text).type)}
-            if length in docs.columns:
+            if length in names:
                 new[length] = pa.array([n if x is None else len(x) for x, n in zip(texts, b.column(length).to_pylist(), strict=True)], b.schema.field(length).type)
-            yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in names], names)
 
     return joined.mapInArrow(cut, schema)

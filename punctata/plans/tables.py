@@ -122,7 +122,7 @@ def w07(spark, d):
     return ids.allocate(rows, "internal", "label").select("internal", "instance_id")
 
 
-_PATH = "s_nationkey AS line, s_suppkey AS k, CAST(s_suppkey * 37 % 101 AS DOUBLE) AS x, CAST(s_suppkey * s_suppkey % 53 AS DOUBLE) AS y"
+_PATH = "s_suppkey % 4 AS line, s_suppkey AS k, CAST(s_suppkey * 37 % 101 AS DOUBLE) AS x, CAST(s_suppkey * s_suppkey % 53 AS DOUBLE) AS y"
 
 
 def _path(spark, d):
@@ -144,7 +144,7 @@ def w09(spark, d):
 
 
 def w10(spark, d):
-    rows = paths.resampled(_path(spark, d).where("line < 12"), ["line"], "k", 9)
+    rows = paths.resampled(_path(spark, d), ["line"], "k", 9)
     return rows.select("line", F.col("i").cast("long").alias("i"), R("x", 4).alias("x"), R("y", 4).alias("y"))
 
 
@@ -258,7 +258,7 @@ ORACLES = {
         SELECT line, k, round(sum(st) OVER (PARTITION BY line ORDER BY k ROWS UNBOUNDED PRECEDING), 6) AS length, round(abs(CASE WHEN bx IS NULL AND ax IS NULL THEN 1e0 WHEN bx IS NULL THEN ax - x WHEN ax IS NULL THEN x - bx ELSE (ax - bx) / 2 END), 6) AS spacing,
         round(CASE WHEN n <= 3 THEN x ELSE (px + x + nx) / 3 END, 6) AS smooth_x, round(CASE WHEN n <= 3 OR i = 1 OR i = n THEN y ELSE (py + y + ny) / 3 END, 6) AS smooth_y FROM a""",
     "w09_first_duplicate": "SELECT o_custkey, min(o_orderkey) AS o_orderkey, arg_min(o_orderpriority, o_orderkey) AS o_orderpriority FROM orders GROUP BY 1",
-    "w10_path_resampling": f"""WITH p AS (SELECT {_PATH} FROM supplier WHERE s_nationkey < 12), a AS (SELECT *, coalesce(sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2)), 0e0) AS st FROM p WINDOW w AS (PARTITION BY line ORDER BY k)), l AS (SELECT *, sum(st) OVER (PARTITION BY line ORDER BY k ROWS UNBOUNDED PRECEDING) AS len FROM a),
+    "w10_path_resampling": f"""WITH p AS (SELECT {_PATH} FROM supplier), a AS (SELECT *, coalesce(sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2)), 0e0) AS st FROM p WINDOW w AS (PARTITION BY line ORDER BY k)), l AS (SELECT *, sum(st) OVER (PARTITION BY line ORDER BY k ROWS UNBOUNDED PRECEDING) AS len FROM a),
         s AS (SELECT line, x, y, len, lead(x) OVER w AS x2, lead(y) OVER w AS y2, lead(len) OVER w AS len2, max(len) OVER (PARTITION BY line) AS total FROM l WINDOW w AS (PARTITION BY line ORDER BY k)), t AS (SELECT s.*, i, i * total / 8 AS pos FROM s, range(9) r(i) WHERE len2 > len),
         h AS (SELECT line, i, x + (pos - len) / (len2 - len) * (x2 - x) AS x, y + (pos - len) / (len2 - len) * (y2 - y) AS y, row_number() OVER (PARTITION BY line, i ORDER BY abs(pos - (len + len2) / 2) - (len2 - len) / 2, len) AS k FROM t) SELECT line, i, round(x, 4) AS x, round(y, 4) AS y FROM h WHERE k = 1""",
     "t01_top_n": "SELECT p_partkey, p_retailprice FROM part WHERE p_retailprice > 0 ORDER BY p_retailprice DESC, p_partkey LIMIT 12",

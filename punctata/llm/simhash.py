@@ -21,28 +21,47 @@ from pyspark.sql import functions as F
 from punctata.llm.common import batches, components, stored, utf8
 
 
-def fingerprint(raw: bytes, width: int = 3, seed: int = 42) -> int:
-    """The fingerprint of a whole text in UTF-8: A-Z lowered, words split at ASCII white space.
+def shingle_hashes(raw: bytes, width: int = 3, seed: int = 42) -> np.ndarray:
+    """Hashes of all shingles of a whole text in UTF-8, in order, repeats included.
 
-    A bit is 1 if it is set in over half of the hashes of all shingles, repeats included. Fewer words
-    than ``width`` are one shingle; without words the fingerprint is 0.
+    A-Z are lowered and words split at ASCII white space. Fewer words than ``width`` are one shingle.
     """
     words = raw.lower().split()
-    if not words:
-        return 0
     h = xxhash.xxh64_intdigest
     if len(words) <= width:
-        return h(b" ".join(words), seed)
+        return np.array([h(b" ".join(words), seed)] if words else [], np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     view = memoryview(joined)
-    hashes = np.array([h(view[a:z], seed) for a, z in zip(starts[: 1 - width].tolist(), ends[width - 1 :].tolist())], np.uint64)
+    return np.array([h(view[a:z], seed) for a, z in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())], np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half of the hashes; without any the fingerprint is 0."""
+    if not len(hashes):
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(ones * 2 > len(hashes), bitorder="little")
-    return int(bits.view(np.uint64)[0])
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprint(raw: bytes, width: int = 3, seed: int = 42) -> int:
+    """The fingerprint of a whole text in UTF-8."""
+    return majority(shingle_hashes(raw, width, seed))
+
+
+def part_fingerprints(hashes: np.ndarray, mean: int = 24) -> np.ndarray:
+    """Fingerprints of a text's parts, which end at shingles whose hash is divisible by ``mean``: an edit moves no other cut."""
+    out = []
+    for at in range(0, len(hashes), 1 << 16):
+        h = hashes[at : at + (1 << 16)]
+        starts = np.concatenate([[0], np.flatnonzero(h[:-1] % np.uint64(mean) == 0) + 1])
+        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+        out.append(np.packbits(ones * 2 > np.diff(np.append(starts, len(h)))[:, None], axis=1, bitorder="little").view(np.uint64).ravel())
+    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -162,38 +181,122 @@ def near_fingerprints(fps: DataFrame, bits: int = 2, segments: int = 16) -> Data
     return components(edges)
 
 
-def _named(docs: DataFrame, width: int, bits: int) -> DataFrame:
+def _once(b: pa.RecordBatch, seen: set) -> pa.RecordBatch:
+    """The rows whose text hash is new to this task."""
+    keep = [i for i, t in enumerate(b.column("th").to_pylist()) if t not in seen and not seen.add(t)]
+    return b.take(pa.array(keep, pa.int64()))
+
+
+def similar_texts(docs: DataFrame, width: int, similarity: float, mean: int = 24) -> DataFrame:
+    """(a, b): links between text hashes whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity``.
+
+    Such texts can be far beyond a few bits apart, but edits leave some of their parts whole. So the parts
+    are fingerprinted too, and texts of about equal length that share a part's cell are candidates: each
+    with the first text of the cell, never all pairs; lengths fall in two overlapping classes, one of which
+    two similar texts share. Candidates are verified exactly on their whole shingle sets.
+    """
+    texts = docs.select("text", F.xxhash64("text").alias("th")).where(F.col("text").isNotNull())
+    ratio = np.log(1 / similarity)
+
+    def dealt(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for b in batches(frames):
+            b = _once(b, seen)
+            cell, th = [], []
+            for t, raw in zip(b.column("th").to_pylist(), utf8(b.column("text")), strict=True):
+                h = shingle_hashes(raw, width)
+                n = len(np.unique(h))
+                if n:
+                    parts, k = part_fingerprints(h, mean), int(np.log(n) / ratio)
+                    for c in (k, k + 1):
+                        cell.append(parts ^ np.uint64((c * 0x9E3779B97F4A7C15) % 2**64))
+                        th.append(np.full(len(parts), t))
+            if cell:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell).view(np.int64)), pa.array(np.concatenate(th))], ["cell", "th"])
+
+    def starred(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, hub = None, None
+        for b in frames:
+            cell, th = (b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "th"))
+            if not len(cell):
+                continue
+            new = np.ones(len(cell), bool)
+            new[1:] = cell[1:] != cell[:-1]
+            new[0] = cell[0] != last
+            heads = np.where(new, np.arange(len(cell)), -1)
+            heads = np.maximum.accumulate(heads)
+            first = np.where(heads >= 0, th[np.maximum(heads, 0)], 0 if hub is None else hub)
+            pair = first != th
+            if pair.any():
+                found = np.unique(np.column_stack([first[pair], th[pair]]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
+            last, hub = cell[-1], first[-1]
+
+    def sets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for b in batches(frames):
+            b = _once(b, seen)
+            yield pa.RecordBatch.from_arrays([b.column("th"), pa.array([np.unique(shingle_hashes(x, width)).tobytes() for x in utf8(b.column("text"))], pa.binary())], ["th", "s"])
+
+    def verified(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in frames:
+            keep = []
+            for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                small, big = sorted((len(x), len(y)))
+                both = len(np.intersect1d(x, y, assume_unique=True)) if small >= similarity * big else 0
+                keep.append(both >= similarity * (small + big - both))
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    grid = texts.mapInArrow(dealt, "cell long, th long").repartition("cell").sortWithinPartitions("cell", "th")
+    pairs = stored(grid.mapInArrow(starred, "a long, b long").distinct(), "candidates")
+    wanted = pairs.select(F.col("a").alias("th")).union(pairs.select("b")).distinct()
+    known = texts.join(wanted, "th", "left_semi").select("text", "th").mapInArrow(sets, "th long, s binary").groupBy("th").agg(F.first("s").alias("s"))
+    known = stored(known, "shingles")
+    both = pairs.join(known.select(F.col("th").alias("a"), F.col("s").alias("sa")), "a").join(known.select(F.col("th").alias("b"), F.col("s").alias("sb")), "b")
+    return both.select("a", "b", "sa", "sb").mapInArrow(verified, "a long, b long")
+
+
+def _named(docs: DataFrame, width: int, bits: int, similarity: float | None = None) -> DataFrame:
     """(fp, doc_id, th, component_id) of every row.
 
     Links run between distinct fingerprints: a group of copies is one node, whose least doc_id is found by
-    partial aggregation.
+    partial aggregation. With ``similarity`` links between texts are joined to those.
     """
     rows = stored(fingerprints(docs, width), "fingerprints")
+    key = "fp"
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = near_fingerprints(least.select("fp"), bits)
-    nodes = least.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    nodes = nodes.select("fp", "component", "least")
+    if similarity is not None:
+        key = "th"
+        texts = rows.groupBy("th").agg(F.first("fp").alias("fp"), F.min("doc_id").alias("least"))
+        of = texts.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        hub = of.groupBy("component").agg(F.min("th").alias("hub"))
+        edges = of.join(hub, "component").select(F.col("th").alias("a"), F.col("hub").alias("b")).where("a <> b")
+        linked = components(edges.union(similar_texts(docs, width, similarity)))
+        least = texts.select("th", "least")
+    nodes = least.join(linked.withColumnRenamed("node", key), key, "left").withColumn("component", F.coalesce("component", key))
     first = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = nodes.join(first, "component").select("fp", "component_id")
-    return rows.join(named, "fp")
+    named = nodes.join(first, "component").select(key, "component_id")
+    return rows.join(named, key)
 
 
-def simhash_components(docs: DataFrame, width: int = 3, bits: int = 2) -> DataFrame:
+def simhash_components(docs: DataFrame, width: int = 3, bits: int = 2, similarity: float | None = None) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs(doc_id, text)``.
 
     Documents link when their fingerprints differ in at most ``bits`` bits; ``component_id`` is the least
     doc_id that links reach, the row itself included. Null and wordless texts have fingerprint 0 and link
     like any other. A null doc_id stays null and takes the least known id of its component. Repeated rows
-    repeat; an empty table gives no rows.
+    repeat; an empty table gives no rows. With ``similarity``, texts whose shingle sets are as similar link too.
     """
-    return _named(docs, width, bits).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return _named(docs, width, bits, similarity).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, width: int = 3, bits: int = 2) -> DataFrame:
+def keep_first(docs: DataFrame, width: int = 5, bits: int = 2, similarity: float | None = 0.8) -> DataFrame:
     """The rows of ``docs``, all columns, of which one document stays for each near-duplicate group.
 
     The least doc_id stays. A null doc_id can't stand for a group: such rows stay. Of rows that repeat the
     least doc_id all stay.
     """
-    drop = _named(docs, width, bits).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
+    drop = _named(docs, width, bits, similarity).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
     return docs.join(drop, (docs["doc_id"] == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_th")), "left_anti")

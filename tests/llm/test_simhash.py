@@ -84,7 +84,57 @@ def test_links_of_planted_bits(spark):
 
 def test_keep_first(spark):
     docs = frame(spark, texts())
-    kept = simhash.keep_first(docs)
+    kept = simhash.keep_first(docs, 3, 2, None)
     want = {k for k, _, c in brute([(r.doc_id, r.text) for r in docs.collect()]) if k is None or k == c}
     rows = kept.collect()
     assert kept.columns == docs.columns and {r.doc_id for r in rows} == want
+
+
+def test_similar_texts(spark):
+    """Near copies with edits go, whatever their bits; others and odd rows stay."""
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(400)]
+    rows, groups = [], []
+    for g in range(40):
+        base = [r.choice(words) for _ in range(r.randint(60, 400))]
+        for c in range(r.randint(1, 4)):
+            w = list(base)
+            if c:
+                for at in r.sample(range(len(w)), max(1, len(w) // 70)):
+                    w[at] = "edit" + str(r.random())
+            rows.append(" ".join(w))
+            groups.append(g)
+    passage = " ".join(r.choice(words) for _ in range(60))
+    for _ in range(30):
+        rows.append(" ".join(r.choice(words) for _ in range(200)) + " " + passage)
+        groups.append(100 + len(rows))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string").repartition(4)
+    shingles = [{" ".join(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in rows)]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j]):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    want = {i for i in range(len(rows)) if find(i) == i}
+    got = {x.doc_id for x in simhash.keep_first(docs).collect()}
+    assert got == want
+    odd = frame(spark, texts())
+    kept = simhash.keep_first(odd)
+    assert kept.columns == odd.columns and kept.where("doc_id IS NULL").count() == odd.where("doc_id IS NULL").count()
+    assert simhash.keep_first(odd.limit(0)).count() == 0
+
+
+def test_parts_cover_the_whole():
+    h = np.random.default_rng(0).integers(0, 2**63, 5000).astype(np.uint64)
+    parts = simhash.part_fingerprints(h)
+    assert 120 < len(parts) < 330
+    edited = h.copy()
+    edited[2500:2505] = 1
+    assert len(np.setdiff1d(parts, simhash.part_fingerprints(edited))) <= 2

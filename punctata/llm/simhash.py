@@ -52,7 +52,7 @@ def fingerprint(raw: bytes, width: int = 3, seed: int = 42) -> int:
     return majority(shingle_hashes(raw, width, seed))
 
 
-def part_fingerprints(hashes: np.ndarray, mean: int = 24) -> np.ndarray:
+def part_fingerprints(hashes: np.ndarray, mean: int = 8) -> np.ndarray:
     """Fingerprints of a text's parts, which end at shingles whose hash is divisible by ``mean``: an edit moves no other cut."""
     out = []
     for at in range(0, len(hashes), 1 << 16):
@@ -187,13 +187,15 @@ def _once(b: pa.RecordBatch, seen: set) -> pa.RecordBatch:
     return b.take(pa.array(keep, pa.int64()))
 
 
-def similar_texts(docs: DataFrame, width: int, similarity: float, mean: int = 24) -> DataFrame:
+def similar_texts(docs: DataFrame, width: int, similarity: float, mean: int = 8, sketch: int = 12, before: int = 8) -> DataFrame:
     """(a, b): links between text hashes whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity``.
 
     Such texts can be far beyond a few bits apart, but edits leave some of their parts whole. So the parts
-    are fingerprinted too, and texts of about equal length that share a part's cell are candidates: each
-    with the first text of the cell, never all pairs; lengths fall in two overlapping classes, one of which
-    two similar texts share. Candidates are verified exactly on their whole shingle sets.
+    are fingerprinted too: a text stands in the cells of its ``sketch`` least part fingerprints, in two
+    overlapping classes of length, one of which two similar texts share. Within a cell, in an order of its
+    own, a text is compared with the cell's first text and the ``before`` texts ahead of it, never with all;
+    as similar texts share several cells, they meet. Pairs with sketches or lengths too far apart are left
+    out, the others are verified exactly on their whole shingle sets.
     """
     texts = docs.select("text", F.xxhash64("text").alias("th")).where(F.col("text").isNotNull())
     ratio = np.log(1 / similarity)
@@ -202,35 +204,58 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, mean: int = 24
         seen: set = set()
         for b in batches(frames):
             b = _once(b, seen)
-            cell, th = [], []
+            cols: list[list] = [[], [], [], []]
             for t, raw in zip(b.column("th").to_pylist(), utf8(b.column("text")), strict=True):
                 h = shingle_hashes(raw, width)
                 n = len(np.unique(h))
                 if n:
-                    parts, k = part_fingerprints(h, mean), int(np.log(n) / ratio)
+                    parts, k = part_fingerprints(h, mean)[:sketch], int(np.log(n) / ratio)
+                    marks = np.zeros(sketch, "<u2")
+                    marks[: len(parts)] = parts.astype(np.uint16) | np.uint16(1)
                     for c in (k, k + 1):
-                        cell.append(parts ^ np.uint64((c * 0x9E3779B97F4A7C15) % 2**64))
-                        th.append(np.full(len(parts), t))
-            if cell:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell).view(np.int64)), pa.array(np.concatenate(th))], ["cell", "th"])
+                        cols[0].append(parts ^ np.uint64((c * 0x9E3779B97F4A7C15) % 2**64))
+                        cols[1].append(np.full(len(parts), t))
+                        cols[2].append(np.full(len(parts), n))
+                        cols[3] += [marks.tobytes()] * len(parts)
+            if cols[0]:
+                cell, th, n = (np.concatenate(c) for c in cols[:3])
+                turn = (cell * np.uint64(0xBF58476D1CE4E5B9)) ^ (th.view(np.uint64) * np.uint64(0x94D049BB133111EB))
+                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(turn.view(np.int64)), pa.array(th), pa.array(n), pa.array(cols[3], pa.binary())], ["cell", "turn", "th", "n", "marks"])
+
+    def close(i: np.ndarray, j: np.ndarray, th: np.ndarray, n: np.ndarray, marks: np.ndarray) -> np.ndarray:
+        ok = (th[i] != th[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]))
+        at = np.flatnonzero(ok)
+        for a in range(0, len(at), 1 << 16):
+            x, y = marks[i[at[a : a + (1 << 16)]]], marks[j[at[a : a + (1 << 16)]]]
+            shared = ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] > 0)).any(axis=2).sum(axis=1)
+            ok[at[a : a + (1 << 16)]] = shared >= np.clip((x > 0).sum(axis=1) // 3, 1, 3)
+        return ok
 
     def starred(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub = None, None
+        held = None
         for b in frames:
-            cell, th = (b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "th"))
-            if not len(cell):
+            if not b.num_rows:
                 continue
+            now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "th", "n")]
+            now.append(np.frombuffer(b"".join(b.column("marks").to_pylist()), "<u2").reshape(-1, sketch))
+            old = 0 if held is None else len(held[0])
+            cell, th, n, marks = (x if held is None else np.concatenate([h, x]) for h, x in zip(held or now, now, strict=True))
             new = np.ones(len(cell), bool)
             new[1:] = cell[1:] != cell[:-1]
-            new[0] = cell[0] != last
-            heads = np.where(new, np.arange(len(cell)), -1)
-            heads = np.maximum.accumulate(heads)
-            first = np.where(heads >= 0, th[np.maximum(heads, 0)], 0 if hub is None else hub)
-            pair = first != th
-            if pair.any():
-                found = np.unique(np.column_stack([first[pair], th[pair]]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0].copy()), pa.array(found[:, 1].copy())], ["a", "b"])
-            last, hub = cell[-1], first[-1]
+            head = np.maximum.accumulate(np.where(new, np.arange(len(cell)), 0))
+            at = np.arange(old, len(cell))
+            found = []
+            for back in range(before + 1):
+                j = head[at] if not back else np.maximum(at - back, 0)
+                same = (cell[j] == cell[at]) & (j < at)
+                i, j = at[same], j[same]
+                keep = close(i, j, th, n, marks)
+                found.append(np.column_stack([np.minimum(th[i], th[j]), np.maximum(th[i], th[j])])[keep])
+            pairs = np.unique(np.concatenate(found), axis=0)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+            tail = np.unique(np.concatenate([[head[-1]], np.arange(max(int(head[-1]), len(cell) - before), len(cell))]))
+            held = [x[tail] for x in (cell, th, n, marks)]
 
     def sets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -248,7 +273,7 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, mean: int = 24
                 keep.append(both >= similarity * (small + big - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    grid = texts.mapInArrow(dealt, "cell long, th long").repartition("cell").sortWithinPartitions("cell", "th")
+    grid = texts.mapInArrow(dealt, "cell long, turn long, th long, n long, marks binary").repartition("cell").sortWithinPartitions("cell", "turn")
     pairs = stored(grid.mapInArrow(starred, "a long, b long").distinct(), "candidates")
     wanted = pairs.select(F.col("a").alias("th")).union(pairs.select("b")).distinct()
     known = texts.join(wanted, "th", "left_semi").select("text", "th").mapInArrow(sets, "th long, s binary").groupBy("th").agg(F.first("s").alias("s"))

@@ -36,7 +36,7 @@ from punctata.llm.common import batches, stored, utf8
 LENGTH, GRAM, PART = 200, 64, 8
 #: Different surroundings of a gram in one task from which its rows are salted.
 HOT, SALTS = 256, 64
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 _ITEMS = "slot long, k long, c long, th long, ref long"
 _FOUND = "th long, t2 int, a int, s int, e int, open boolean"
 _U = np.uint64
@@ -219,7 +219,7 @@ def _settled(items: DataFrame) -> DataFrame:
     return items.repartition("slot").sortWithinPartitions("slot", "k", "c").mapInArrow(_settle, _FOUND)
 
 
-def _gathered(frames: Iterator[pa.RecordBatch], made: Callable, most: int = 3_000_000) -> Iterator[pa.RecordBatch]:
+def _gathered(frames: Iterator[pa.RecordBatch], made: Callable, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Combines what ``made`` gives for each batch; about ``most`` items are held at a time."""
     held, n = [], 0
     for b in frames:
@@ -367,7 +367,7 @@ def _hulls(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def covered_starts(docs: DataFrame) -> DataFrame:
     """(th, t2, spans array<struct<s, e>>) of texts with strings that start elsewhere too, at s..e."""
     texts = _marked(docs.select("text").where(F.octet_length("text") >= LENGTH))
-    first = stored(_settled(texts.mapInArrow(lambda fs: _gathered(batches(fs), _first_items), _ITEMS)), "ranges")
+    first = stored(_settled(texts.mapInArrow(lambda fs: _gathered(batches(fs, most=1 << 20), _first_items), _ITEMS)), "ranges")
     wanted = first.where("open").groupBy("th", "t2").agg(F.collect_set(F.struct("a", "s", "e")).alias("at"))
     packed = texts.mapInArrow(_packed, "th long, t2 int, z binary")
     hulls = stored(packed.join(wanted, ["th", "t2"]).mapInArrow(_hulls, "th long, t2 int, a int, s int, e int, hull binary"), "hulls")

@@ -67,3 +67,15 @@ def test_whole_table(spark):
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     got = [tuple(r) for r in vectors.similar_vectors(df).collect()]
     assert sorted(got) == sorted(brute(rows, 0.9))
+
+
+def test_oracle(spark):
+    import duckdb
+
+    from punctata.llm import queries
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW embeddings AS SELECT * FROM '/root/testdata/sf0.01/embeddings.parquet'")
+    want = sorted(con.execute(queries.oracle_sql()["op7_similar_vectors"]).fetchall())
+    rows = queries.op7_similar_vectors(spark, "/root/testdata/sf0.01").select("vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(map(tuple, rows)) == want

@@ -356,7 +356,7 @@ def a37(spark, d):
 
 def a37_support(spark, d):
     """Share of points beyond five median anchor gaps of the nearest anchor."""
-    anchors = roles.cells(spark, d).where("instance_id % 20 = 0").select(F.col("instance_id").alias("other"), F.col("cx").alias("tx"), F.col("cy").alias("ty"))
+    anchors = roles.cells(spark, d).where("instance_id % 20 = 0 AND instance_id < 500").select(F.col("instance_id").alias("other"), F.col("cx").alias("tx"), F.col("cy").alias("ty"))
     gaps = S.nearest_points(anchors.select(F.col("other").alias("id"), F.col("tx").alias("x"), F.col("ty").alias("y")), anchors, "id", "other", 1, 16.0, skip_same=True)
     radius = gaps.where("distance > 0").agg((F.median("distance") * 5).alias("radius"))
     near = S.nearest_points(roles.cells(spark, d).select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y")), anchors, "instance_id", "other", 1, 16.0)
@@ -619,7 +619,7 @@ ORACLES = {
     "a35_candidate_score": "SELECT s_suppkey, round(CASE WHEN s_suppkey % 5 > 0 THEN s_acctbal / 10000e0 ELSE 0e0 END + s_nationkey / 25e0 + 0.1e0 * (s_suppkey / 100e0) - 0.001e0 * s_acctbal, 9) AS score FROM supplier ORDER BY score DESC, s_suppkey LIMIT 1",
     "a36_affine_sums": sql("cells", f"{_MATCH} SELECT count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy, sum(u) AS su, sum(v) AS sv, sum(x * u) AS sxu, sum(y * u) AS syu, sum(x * v) AS sxv, sum(y * v) AS syv FROM ma"),
     "a37_displacement": sql("cells", f"{_MATCH} SELECT round(min(d), 6) AS min, round(quantile_cont(d, 0.5), 6) AS p50, round(quantile_cont(d, 0.95), 6) AS p95, round(max(d), 6) AS max FROM (SELECT sqrt((u - x) * (u - x) + (v - y) * (v - y)) AS d FROM ma)"),
-    "a37_support": sql("cells", """an AS (SELECT instance_id AS id, cx, cy FROM cells WHERE instance_id % 20 = 0), gp AS (SELECT min(sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS d FROM an a JOIN an b ON a.id <> b.id GROUP BY a.id), ra AS (SELECT median(d) * 5 AS r FROM gp WHERE d > 0),
+    "a37_support": sql("cells", """an AS (SELECT instance_id AS id, cx, cy FROM cells WHERE instance_id % 20 = 0 AND instance_id < 500), gp AS (SELECT min(sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS d FROM an a JOIN an b ON a.id <> b.id GROUP BY a.id), ra AS (SELECT median(d) * 5 AS r FROM gp WHERE d > 0),
         nr AS (SELECT min(sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS d FROM cells a, an b GROUP BY a.instance_id) SELECT round(any_value(r), 6) AS radius, round(avg(CASE WHEN d > r THEN 1e0 ELSE 0e0 END), 6) AS extrapolated FROM nr, ra"""),
     "a38_density": sql("transcripts", "SELECT CAST(least(floor(x / 40e0), 11) AS BIGINT) AS bx, CAST(least(floor((y - 20) / (480e0 / 9)), 8) AS BIGINT) AS by, count(*) AS n FROM transcripts WHERE x BETWEEN 0 AND 480 AND y BETWEEN 20 AND 500 GROUP BY ALL"),
     "a39_assignment_rate": sql("transcripts", "r AS (SELECT platform, 'background' AS method, count(*) AS n, count(*) FILTER (NOT background) AS n_assigned FROM transcripts GROUP BY 1 UNION ALL SELECT platform, 'numeric', count(*), count(*) FILTER (assignment % 2 = 0) FROM transcripts GROUP BY 1) SELECT *, round(n_assigned / n, 6) AS rate FROM r"),

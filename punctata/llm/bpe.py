@@ -12,6 +12,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -36,7 +37,7 @@ def byte_characters() -> list[str]:
 class Bpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 150_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -86,8 +87,8 @@ class Bpe:
                 heapq.heappush(queue, (m[0], h, m[1]))
         return [s for s in symbols if s >= 0]
 
-    def _words(self, words: list[str]) -> list[tuple[bytes, str, int]]:
-        """Of each run of non-space characters: its ids as bytes, its decoded text, its number of ids."""
+    def _words(self, words: list[str]) -> list[tuple[bytes, str]]:
+        """Of each run of non-space characters: its ids as bytes and its decoded text."""
         split, flat = [], []
         for word in words:
             own: list[str | int] = []
@@ -103,16 +104,16 @@ class Bpe:
         out = []
         for own in split:
             ids = [i for x in own for i in (next(found) if isinstance(x, str) else (x,))]
-            out.append((np.array(ids, "<u4").tobytes(), self.decode(ids), len(ids)))
+            out.append((array("I", ids).tobytes(), self.decode(ids)))
         return out
 
-    def encode(self, text: str) -> list[tuple[bytes, str, int]]:
+    def encode(self, text: str) -> list[tuple[bytes, str]]:
         """Parts of the encoding of a whole text; parts without ids are left out."""
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python alone
             words = [w for w in regex.split(r"[\s--[\x1c-\x1f]]+", text, flags=regex.V1) if w]
         else:
             words = text.split()
-        return [x for x in self.words.values(words) if x[2]]
+        return [x for x in self.words.values(words) if x[0]]
 
     def encode_ids(self, text: str) -> list[int]:
         return np.frombuffer(b"".join(x[0] for x in self.encode(text)), "<u4").tolist()

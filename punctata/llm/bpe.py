@@ -37,7 +37,7 @@ def byte_characters() -> list[str]:
 class Bpe:
     """Encoder and decoder of one vocabulary file."""
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 50_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]

@@ -58,6 +58,7 @@ def batches(frames: Iterator[pa.RecordBatch], text: str = "text", most: int = 4
             to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
             yield frame.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()  # workers live on between tasks
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -12,17 +12,19 @@ from __future__ import annotations
 import hashlib
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from punctata.llm.common import batches, new_path, running_start
-from punctata.llm.units import UnitCache, safe_units, spaced_units
+from punctata.llm.units import UnitCache, is_spaced, safe_units
 
 _HELD: dict[str, UnitCache] = {}
 
@@ -39,11 +41,43 @@ def _cache(path: str) -> UnitCache:
         tk.no_truncation()
         tk.no_padding()
         kind = _kind(tk.get_vocab_size())
+        code, width = ("H", 2) if kind == "<u2" else ("I", 4)
+        vocabulary = tk.get_vocab()
+        spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        spaced[[i for s, i in vocabulary.items() if s.startswith("Ġ")]] = True
+
+        def words(units: list[str], run: int = 400) -> list[bytes]:
+            """Units of a space and letters, many in one string: a token that begins with the space begins a unit."""
+            out = []
+            joined = ["".join(units[at : at + run]) for at in range(0, len(units), run)]
+            for x in tk.encode_batch_fast(joined, add_special_tokens=False):
+                ids = array(code, x.ids)
+                raw, at = ids.tobytes(), (np.flatnonzero(spaced[np.frombuffer(ids, kind)]) * width).tolist()
+                out += [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)])]
+            return out
 
         def ids(units: list[str]) -> list[bytes]:
-            return [np.array(x.ids, kind).tobytes() for x in tk.encode_batch_fast(units, add_special_tokens=False)]
-
-        cache = UnitCache(ids)
+            """Words are separate from the marks after them, so a word with a mark is its word and its mark."""
+            units = [u[1:] if u[:1] == " " else " " + u for u in units]
+            out: list = [None] * len(units)
+            at, bases, rest = [], [], []
+            for i, u in enumerate(units):
+                if u[:1] == " " and u[1:].isalpha():
+                    at.append(i)
+                    bases.append(u)
+                elif u[-1:] in marks and u[:1] == " " and u[1:-1].isalpha():
+                    at.append(i)
+                    bases.append(u[:-1])
+                else:
+                    rest.append(i)
+            for i, base, v in zip(at, bases, words(bases), strict=True):
+                out[i] = v if len(base) == len(units[i]) else v + marks[units[i][-1]]
+            for i, x in zip(rest, tk.encode_batch_fast([units[i] for i in rest], add_special_tokens=False), strict=True):
+                out[i] = array(code, x.ids).tobytes()
+            return out
+
+        marks = {m: array(code, tk.encode(m, add_special_tokens=False).ids).tobytes() for m in ".,;:!?"}
+        cache = UnitCache(ids, 400_000)
         cache.kind = kind
         _HELD[path] = cache
     return _HELD[path]
@@ -54,18 +88,30 @@ def _kind(n: int) -> str:
 
 
 def encode_bytes(texts: list[str], cache: UnitCache) -> list[bytes]:
-    """Each whole text's ids, from units that stand between safe boundaries of the byte-level pattern."""
-    units: list[str] = []
-    ends = [0]
-    for text in texts:
-        own = spaced_units(text)
-        if own is None:
-            own = safe_units(text)
-        units.append(own[0])
-        units += [" " + x for x in own[1:]]
-        ends.append(len(units))
-    values = cache.values(units)
-    return [b"".join(values[a:b]) for a, b in zip(ends, ends[1:])]
+    """Each whole text's ids, from units that stand between safe boundaries of the byte-level pattern.
+
+    A key of the cache stands for a space and itself, or for what follows if it begins with a space. Texts
+    that may be cut at every space are cut, and their units told apart, by Arrow; one gather then strings
+    all ids of the batch together.
+    """
+    out: list = [b""] * len(texts)
+    plain = [i for i, x in enumerate(texts) if x and is_spaced(x)]
+    if plain:
+        parts = pa.compute.split_pattern(pa.array([texts[i] for i in plain], pa.string()), " ")
+        ends, n = parts.offsets.to_numpy(), len(parts.values)
+        firsts = pa.array([" " + texts[i].split(" ", 1)[0] for i in plain], pa.string())
+        keys = pa.concat_arrays([parts.values, firsts]).dictionary_encode()
+        at = keys.indices.to_numpy().copy()
+        at[ends[:-1]] = at[n:]
+        ids = pa.array(cache.values(keys.dictionary.to_pylist()), pa.binary()).take(pa.array(at[:n]))
+        cuts = np.frombuffer(ids.buffers()[1], np.int32)[: n + 1][ends]
+        data = memoryview(ids.buffers()[2])
+        for i, x, y in zip(plain, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            out[i] = bytes(data[x:y])
+    for i in set(range(len(texts))).difference(plain):
+        own = safe_units(texts[i])
+        out[i] = b"".join(cache.values([" " + own[0], *("  " + x for x in own[1:])]))
+    return out
 
 
 def train_dictionary(docs: DataFrame, vocabulary: str, sample: int = 800, longest: int = 20_000, size: int = 65_536) -> bytes:
@@ -95,7 +141,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int | None
         cache = _cache(vocabulary)
         tail = b"" if end_id is None else np.array([end_id], cache.kind).tobytes()
         width = np.dtype(cache.kind).itemsize
-        pack = zstandard.ZstdCompressor(level=level, dict_data=zstandard.ZstdCompressionDict(words) if words else None)
+        shared = zstandard.ZstdCompressionDict(words) if words else None
+        if shared:
+            shared.precompute_compress(level=level)
+        pack = zstandard.ZstdCompressor(level=level, dict_data=shared)
         part, seg = TaskContext.get().partitionId(), 0
         data, keys, offsets, counts, at = [], [], [], [], 0
 

@@ -8,6 +8,10 @@ from collections.abc import Callable
 #: Runs in which cutting at every space is not safe: long white space, or white space at the end.
 _GAPS = re.compile(r"\s{3}|\s\s$|^\s\s")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: White space but the space and the line feed, and runs of those two: without any, no run is longer than one.
+_RARE = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_RUNS = ("  ", " \n", "\n ", "\n\n")
+_ASCII_RARE = tuple(c for c in _RARE if c.isascii())
 
 
 class UnitCache:
@@ -26,33 +30,29 @@ class UnitCache:
     def values(self, units: list[str]) -> list:
         """The value of each unit."""
         young = self.young
-        new = set(units).difference(young)
-        if new:
-            old, fresh = self.old, []
-            for x in new:
-                v = old.get(x)
-                if v is None:
-                    fresh.append(x)
-                else:
-                    young[x] = v
+        out = list(map(young.get, units))
+        if None in out:
+            at = [i for i, v in enumerate(out) if v is None]
+            new = {units[i] for i in at}
+            known = new & self.old.keys() if self.old else ()
+            for x in known:
+                young[x] = self.old[x]
+            fresh = list(new.difference(known))
             if fresh:
                 young.update(zip(fresh, self.compute(fresh), strict=True))
-        out = list(map(young.__getitem__, units))
+            for i in at:
+                out[i] = young[units[i]]
         if len(young) > self.most:
             self.old, self.young = young, {}
         return out
 
 
-def spaced_units(text: str, unsafe: str = "") -> list[str] | None:
-    """``text`` cut before single spaces; the space itself is left out. None if white space runs forbid it.
-
-    A cut stands between two characters that are no white space and not in ``unsafe``.
-    """
-    if _GAPS.search(text) or any(c in text for c in unsafe):
-        return None
-    return text.split(" ")
+def is_spaced(text: str) -> bool:
+    """Whether no token of a byte-level pattern can cross any single space of ``text``: no long white space runs."""
+    odd = any(x in text for x in _RUNS) or any(c in text for c in (_ASCII_RARE if text.isascii() else _RARE))
+    return not (odd and _GAPS.search(text))
 
 
 def safe_units(text: str) -> list[str]:
-    """As ``spaced_units`` for any text: cuts only at single spaces between two non-space characters."""
+    """Any text cut at single spaces between two non-space characters; the space itself is left out."""
     return _SAFE.split(text)

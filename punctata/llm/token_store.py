@@ -119,7 +119,10 @@ def train_dictionary(docs: DataFrame, vocabulary: str, sample: int = 800, longes
 
     Empty where the sample is too small to train on; frames are then made without a dictionary.
     """
-    rows = docs.select("text").where(F.length("text").between(1, longest)).orderBy(F.xxhash64("text", F.lit("dictionary")), "text").limit(sample).collect()
+    known = docs.select("text", F.xxhash64("text", F.lit("dictionary")).alias("h")).where(F.length("text").between(1, longest))
+    # Tasks send hashes only; the texts up to the last hash follow, of copies one.
+    last = known.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    rows = known.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.first("text").alias("text")).orderBy("h").collect()
     blobs = encode_bytes([r.text for r in rows], _cache(vocabulary))
     try:
         return zstandard.train_dictionary(size, blobs, level=3).as_bytes()

@@ -187,75 +187,179 @@ def _once(b: pa.RecordBatch, seen: set) -> pa.RecordBatch:
     return b.take(pa.array(keep, pa.int64()))
 
 
-def similar_texts(docs: DataFrame, width: int, similarity: float, mean: int = 8, sketch: int = 12, before: int = 8) -> DataFrame:
+def _common(texts: DataFrame, width: int, sample: int = 20_000, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, ascending, and counts of the shingles that most of about ``sample`` texts share; at most ``most`` of them.
+
+    They only put shingles in an order, frequent ones last: any order gives the same links.
+    """
+    step = max(1, -(-texts.count() // sample))
+    few = texts.where(F.pmod(F.xxhash64("th"), F.lit(step)) == 0)
+
+    def taken(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(frames):
+            th = b.column("th").to_pylist()
+            hs = [np.unique(shingle_hashes(x, width)) for x in utf8(b.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.repeat(np.array(th, np.int64), [len(h) for h in hs]))], ["h", "th"])
+
+    few = few.dropDuplicates(["th"])
+    counts = stored(few.mapInArrow(taken, "h long, th long").groupBy("h").agg(F.count("*").alias("c")).where("c > 2"), "common")
+    least, total = 3, 0
+    for c, k in sorted(((r[0], r[1]) for r in counts.groupBy("c").count().collect()), reverse=True):
+        total += k
+        if total > most:
+            least = c + 1
+            break
+    got = counts.where(F.col("c") >= least).toArrow()
+    h, c = got.column("h").to_numpy().view(np.uint64), got.column("c").to_numpy()
+    order = np.argsort(h)
+    return h[order], c[order]
+
+
+def _able(i: np.ndarray, j: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float) -> np.ndarray:
+    """False where two texts can't be similar if the key at these places is the first that they share."""
+    need = similarity / (1 + similarity) * (n[i] + n[j]) - 1e-6
+    return (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+
+
+def similar_texts(docs: DataFrame, width: int, similarity: float, before: int = 16, block: int = 1024) -> DataFrame:
     """(a, b): links between text hashes whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity``.
 
-    Such texts can be far beyond a few bits apart, but edits leave some of their parts whole. So the parts
-    are fingerprinted too: a text stands in the cells of its ``sketch`` least part fingerprints, in two
-    overlapping classes of length, one of which two similar texts share. Within a cell, in an order of its
-    own, a text is compared with the cell's first text and the ``before`` texts ahead of it, never with all;
-    as similar texts share several cells, they meet. Pairs with sketches or lengths too far apart are left
-    out, the others are verified exactly on their whole shingle sets.
+    The links span all components of such pairs. In an order of all shingles, frequent ones last, two similar
+    texts of n shingles share one of their first n - ceil(similarity n) + 1 each: these are a text's keys. Texts
+    of a key are compared with the ``before`` texts ahead and the key's first text, the one of the most frequent
+    shingles. That is every pair of a small key. Of larger ones the texts whose components differ after these
+    links are compared all with all, in blocks of about ``block`` texts, each block with each. Lengths, the
+    keys' places and the sizes of hashed buckets only leave out what can't be similar; all other pairs are
+    verified on their whole shingle sets.
     """
+    spark = docs.sparkSession
     texts = docs.select("text", F.xxhash64("text").alias("th")).where(F.col("text").isNotNull())
-    ratio = np.log(1 / similarity)
+    common = spark.sparkContext.broadcast(_common(texts, width))
 
     def dealt(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = common.value
         seen: set = set()
         for b in batches(frames):
             b = _once(b, seen)
-            cols: list[list] = [[], [], [], []]
+            cols: list[list] = [[], [], [], [], []]
             for t, raw in zip(b.column("th").to_pylist(), utf8(b.column("text")), strict=True):
-                h = shingle_hashes(raw, width)
-                n = len(np.unique(h))
+                h = np.unique(shingle_hashes(raw, width))
+                n = len(h)
                 if n:
-                    parts, k = part_fingerprints(h, mean)[:sketch], int(np.log(n) / ratio)
-                    marks = np.zeros(sketch, "<u2")
-                    marks[: len(parts)] = parts.astype(np.uint16) | np.uint16(1)
-                    for c in (k, k + 1):
-                        cols[0].append(parts ^ np.uint64((c * 0x9E3779B97F4A7C15) % 2**64))
-                        cols[1].append(np.full(len(parts), t))
-                        cols[2].append(np.full(len(parts), n))
-                        cols[3] += [marks.tobytes()] * len(parts)
+                    often = np.zeros(n, np.int64)
+                    if len(known):
+                        near = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                        often = np.where(known[near] == h, count[near], 0)
+                    keys = h[np.argsort(often, kind="stable")[: n - int(np.ceil(similarity * n - 1e-6)) + 1]]
+                    k = len(keys)
+                    cols[0].append(keys.view(np.int64))
+                    cols[1].append(np.full(k, -int(1000 * np.count_nonzero(often) / n), np.int32))
+                    cols[2].append(np.full(k, t, np.int64))
+                    cols[3].append(np.full(k, n, np.int32))
+                    cols[4].append(np.arange(k, dtype=np.int32))
             if cols[0]:
-                cell, th, n = (np.concatenate(c) for c in cols[:3])
-                turn = (cell * np.uint64(0xBF58476D1CE4E5B9)) ^ (th.view(np.uint64) * np.uint64(0x94D049BB133111EB))
-                yield pa.RecordBatch.from_arrays([pa.array(cell.view(np.int64)), pa.array(turn.view(np.int64)), pa.array(th), pa.array(n), pa.array(cols[3], pa.binary())], ["cell", "turn", "th", "n", "marks"])
-
-    def close(i: np.ndarray, j: np.ndarray, th: np.ndarray, n: np.ndarray, marks: np.ndarray) -> np.ndarray:
-        ok = (th[i] != th[j]) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]))
-        at = np.flatnonzero(ok)
-        for a in range(0, len(at), 1 << 16):
-            x, y = marks[i[at[a : a + (1 << 16)]]], marks[j[at[a : a + (1 << 16)]]]
-            shared = ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] > 0)).any(axis=2).sum(axis=1)
-            ok[at[a : a + (1 << 16)]] = shared >= np.clip((x > 0).sum(axis=1) // 3, 1, 3)
-        return ok
-
-    def starred(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["key", "turn", "th", "n", "at"])
+
+    def windows(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs (key null), and the rows (key, a, n, at) of keys with more than ``before`` + 1 texts."""
         held = None
         for b in frames:
-            if not b.num_rows:
-                continue
-            now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "th", "n")]
-            now.append(np.frombuffer(b"".join(b.column("marks").to_pylist()), "<u2").reshape(-1, sketch))
+            now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "th", "n", "at")]
+            if held is not None:
+                now = [np.concatenate([h, x]) for h, x in zip(held[:4], now, strict=True)]
             old = 0 if held is None else len(held[0])
-            cell, th, n, marks = (x if held is None else np.concatenate([h, x]) for h, x in zip(held or now, now, strict=True))
-            new = np.ones(len(cell), bool)
-            new[1:] = cell[1:] != cell[:-1]
-            head = np.maximum.accumulate(np.where(new, np.arange(len(cell)), 0))
-            at = np.arange(old, len(cell))
-            found = []
-            for back in range(before + 1):
-                j = head[at] if not back else np.maximum(at - back, 0)
-                same = (cell[j] == cell[at]) & (j < at)
-                i, j = at[same], j[same]
-                keep = close(i, j, th, n, marks)
-                found.append(np.column_stack([np.minimum(th[i], th[j]), np.maximum(th[i], th[j])])[keep])
-            pairs = np.unique(np.concatenate(found), axis=0)
-            if len(pairs):
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-            tail = np.unique(np.concatenate([[head[-1]], np.arange(max(int(head[-1]), len(cell) - before), len(cell))]))
-            held = [x[tail] for x in (cell, th, n, marks)]
+            fresh = np.ones(len(now[0]), bool)  # copies in other tasks give equal rows, which come together
+            fresh[1:] = (now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1])
+            fresh[:old] = True
+            key, th, n, at = (x[fresh] for x in now)
+            idx = np.arange(len(key))
+            if len(key) == old:
+                continue
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            head = np.maximum.accumulate(np.where(new, idx, 0))
+            off = idx - head
+            if old:
+                off[:old] = held[4]
+                off[old:] += np.where(head[old:] == 0, held[4][-1] + 1 - old, 0)
+            found, live = [], idx[old:]
+            for back in range(1, before + 1):
+                live = live[off[live] >= back]
+                i, j = live, live - back
+                keep = _able(i, j, n, at, similarity)
+                found.append(np.column_stack([th[i], th[j]])[keep])
+            i = idx[old:][off[old:] > before]
+            found.append(np.column_stack([th[i], th[head[i]]])[_able(i, head[i], n, at, similarity)])
+            pairs = np.concatenate(found)
+            pairs = _pairs(pairs[:, 0], pairs[:, 1])
+            full = idx[old:][off[old:] == before + 1]
+            rows = np.concatenate([(full[:, None] - np.arange(before + 2)).ravel(), idx[old:][off[old:] > before + 1]])
+            p, r = len(pairs), len(rows)
+            if p + r:
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.concat_arrays([pa.nulls(p, pa.int64()), pa.array(key[rows])]),
+                        pa.array(np.concatenate([pairs[:, 0], th[rows]])),
+                        pa.array(np.concatenate([pairs[:, 1], th[rows]])),
+                        pa.array(np.concatenate([np.zeros(p, np.int32), n[rows]])),
+                        pa.array(np.concatenate([np.zeros(p, np.int32), at[rows]])),
+                    ],
+                    ["key", "a", "b", "n", "at"],
+                )
+            tail = np.unique(np.concatenate([[head[-1]], np.arange(max(int(head[-1]), len(key) - before), len(key))]))
+            held = [x[tail] for x in (key, th, n, at, off)]
+
+    def buckets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(frames):
+            sizes = [np.bincount((np.unique(shingle_hashes(x, width)) & np.uint64(255)).astype(np.int64), minlength=256) for x in utf8(b.column("text"))]
+            packed = [(s if s.max() < 255 else np.full(256, 255)).astype(np.uint8).tobytes() for s in sizes]
+            yield pa.RecordBatch.from_arrays([b.column("th"), pa.array(packed, pa.binary())], ["th", "sizes"])
+
+    def crossed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of unlike components of each group (key, x, y): block x with block y; the rows come sorted."""
+        held = None
+
+        def of(t: pa.Table) -> Iterator[pa.RecordBatch]:
+            key, x, y, own, th, n, at, part = (t.column(c).to_numpy() for c in ("key", "x", "y", "own", "th", "n", "at", "component"))
+            sizes = np.frombuffer(b"".join(t.column("sizes").to_pylist()), np.uint8).reshape(-1, 256)
+            cut = np.flatnonzero((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
+            for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(key)], strict=True):
+                left, right = s + np.flatnonzero(own[s:e] == x[s]), s + np.flatnonzero(own[s:e] == y[s])
+                for q in range(0, len(left), 128):
+                    some = left[q : q + 128]
+                    i, j = np.repeat(some, len(right)), np.tile(right, len(some))
+                    keep = (part[i] != part[j]) & _able(i, j, n, at, similarity)
+                    if x[s] == y[s]:
+                        keep &= i < j
+                    i, j = i[keep], j[keep]
+                    good = []
+                    for z in range(0, len(i), 1 << 14):
+                        k, m = i[z : z + (1 << 14)], j[z : z + (1 << 14)]
+                        both = np.minimum(sizes[k], sizes[m]).sum(axis=1, dtype=np.int64)
+                        need = similarity / (1 + similarity) * (n[k] + n[m]) - 1e-6
+                        good.append((both >= need) | (need > 10_000))
+                    if good and (g := np.concatenate(good)).any():
+                        pairs = _pairs(th[i[g]], th[j[g]])
+                        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
+
+        for b in frames:
+            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            if not t.num_rows:
+                continue
+            last = np.ones(t.num_rows, bool)
+            for c in ("key", "x", "y"):
+                v = t.column(c).to_numpy()
+                last &= v == v[-1]
+            at = t.num_rows - int(last.sum())
+            if at:
+                yield from of(t.slice(0, at))
+            held = t.slice(at)
+        if held is not None:
+            yield from of(held)
 
     def sets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -273,13 +377,26 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, mean: int = 8,
                 keep.append(both >= similarity * (small + big - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    grid = texts.mapInArrow(dealt, "cell long, turn long, th long, n long, marks binary").repartition("cell").sortWithinPartitions("cell", "turn")
-    pairs = stored(grid.mapInArrow(starred, "a long, b long").distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("th")).union(pairs.select("b")).distinct()
-    known = texts.join(wanted, "th", "left_semi").select("text", "th").mapInArrow(sets, "th long, s binary").groupBy("th").agg(F.first("s").alias("s"))
-    known = stored(known, "shingles")
-    both = pairs.join(known.select(F.col("th").alias("a"), F.col("s").alias("sa")), "a").join(known.select(F.col("th").alias("b"), F.col("s").alias("sb")), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(verified, "a long, b long")
+    def linked(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "candidates")
+        wanted = pairs.select(F.col("a").alias("th")).union(pairs.select("b")).distinct()
+        known = texts.join(wanted, "th", "left_semi").select("text", "th").mapInArrow(sets, "th long, s binary").groupBy("th").agg(F.first("s").alias("s"))
+        known = stored(known, "shingles")
+        both = pairs.join(known.select(F.col("th").alias("a"), F.col("s").alias("sa")), "a").join(known.select(F.col("th").alias("b"), F.col("s").alias("sb")), "b")
+        return stored(both.select("a", "b", "sa", "sb").mapInArrow(verified, "a long, b long"), "links")
+
+    grid = texts.mapInArrow(dealt, "key long, turn int, th long, n int, at int").repartition("key").sortWithinPartitions("key", "turn", "th")
+    found = stored(grid.mapInArrow(windows, "key long, a long, b long, n int, at int"), "windows")
+    first = linked(found.where("key IS NULL").select("a", "b").distinct())
+    large = found.where("key IS NOT NULL").select("key", F.col("a").alias("th"), "n", "at")
+    part = components(first).withColumnRenamed("node", "th")
+    large = stored(large.join(part, "th", "left").withColumn("component", F.coalesce("component", "th")), "large")
+    mixed = large.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    open_ = stored(large.join(mixed.select("key", F.ceil(F.col("m") / block).alias("blocks")), "key"), "open")
+    sizes = texts.join(open_.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"]).select("text", "th").mapInArrow(buckets, "th long, sizes binary")
+    own = open_.join(sizes, "th").withColumn("own", F.pmod(F.xxhash64("th"), "blocks")).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    ready = own.select("key", F.least("own", "o").alias("x"), F.greatest("own", "o").alias("y"), "own", "th", "n", "at", "component", "sizes").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return first.union(linked(ready.mapInArrow(crossed, "a long, b long").distinct()))
 
 
 def _named(docs: DataFrame, width: int, bits: int, similarity: float | None = None) -> DataFrame:

@@ -138,3 +138,65 @@ def test_parts_cover_the_whole():
     edited = h.copy()
     edited[2500:2505] = 1
     assert len(np.setdiff1d(parts, simhash.part_fingerprints(edited))) <= 4
+
+
+def similar_groups(rows: list[str], width: int = 5) -> set[int]:
+    """First rows of the components of all pairs of similarity 0.8 or more, by brute force."""
+    sets = []
+    for t in rows:
+        w = t.split()
+        sets.append({" ".join(w[i : i + width]) for i in range(len(w) - width + 1)} or {" ".join(w)})
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))]
+    for i, j in near:
+        a, b = sorted((find(i), find(j)))
+        root[b] = a
+    return {i for i in range(len(rows)) if find(i) == i}
+
+
+def linked_groups(spark, rows: list[str], **how) -> set[int]:
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i long, text string").repartition(4).selectExpr("i", "text", "xxhash64(text) AS th")
+    links = simhash.components(simhash.similar_texts(docs, 5, 0.8, **how)).withColumnRenamed("node", "th")
+    named = docs.join(links, "th", "left").selectExpr("i", "coalesce(component, th) AS c")
+    return {r[0] for r in named.groupBy("c").agg({"i": "min"}).select("min(i)").collect()}
+
+
+def star(r: random.Random, copies: int, words: int = 400) -> list[str]:
+    """An original and copies of similarity 0.84 to it and about 0.7 to one another: each has seven edits of its own."""
+    base = [f"b{r.random()}" for _ in range(words)]
+    out = [" ".join(base)]
+    for _ in range(copies):
+        w = list(base)
+        for k in range(7):
+            w[57 * k + r.randint(5, 50)] = f"e{r.random()}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_star_of_copies(spark):
+    """All copies meet their original; copies whose original is not there stay apart."""
+    r = random.Random(3)
+    one = star(r, 2000)
+    rows = [*one[1:], one[0], *star(r, 40)[1:], *(f"x{r.random()} " * 30 for _ in range(20))]
+    want = similar_groups(rows)
+    assert len(want) < 80 and linked_groups(spark, rows) == want
+
+
+def test_large_keys_are_compared_whole(spark):
+    """Small windows and blocks, so that the pass over blocks has to find the links."""
+    r = random.Random(4)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for _ in range(400):
+        w = list(base)
+        for at in r.sample(range(60), r.randint(1, 3)):
+            w[at] = f"e{r.randint(0, 9)}"
+        rows.append(" ".join(w))
+    rows = list(dict.fromkeys(rows))
+    assert linked_groups(spark, rows, before=1, block=16) == similar_groups(rows)

@@ -200,3 +200,17 @@ def test_large_keys_are_compared_whole(spark):
         rows.append(" ".join(w))
     rows = list(dict.fromkeys(rows))
     assert linked_groups(spark, rows, before=1, block=16) == similar_groups(rows)
+
+
+def test_short_texts(spark):
+    """Texts of 5 to 60 words with a word more, less or changed: every link of brute force and no other."""
+    r = random.Random(6)
+    rows = ["a b c d", "A b  c d", "a b c e", "a", "b"]
+    for g in range(220):
+        n = 5 + g % 56
+        base = [f"g{g}w{i}" for i in range(n)]
+        edit = list(base)
+        edit[r.choice([0, n - 1])] = "edit"
+        rows += [" ".join(base), " ".join([*base, "more"]), " ".join(base[1:]), " ".join(edit), " ".join([*base, "one", "two"])]
+    want = similar_groups([t.lower() for t in rows])
+    assert len(want) < len(rows) and linked_groups(spark, rows) == want

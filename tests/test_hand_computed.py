@@ -238,3 +238,14 @@ def test_pair_correlation_repeats(spark):
     assert runs[0] == runs[1] and {r[6] for r in runs[0]} == {20} and {r[1] for r in runs[0]} == {"global", "compartment_stratified"}
     a = [r for r in runs[0] if r[0] == "A" and r[1] == "global" and r[2] == 0][0]
     assert a[3] > a[4]
+
+
+def test_expression_neighbours_of_copies(spark):
+    """Forty copies and ten others: of many at one distance the least ids are the neighbours."""
+    rows = [(i, [1.0, 2.0, 0.5]) for i in range(40)] + [(100 + i, [float(i), 9.0, 0.0]) for i in range(10)]
+    got = graphs.expression_neighbours(spark.createDataFrame(rows[::-1], "id long, v array<double>"), "id", "v", 3, 20)
+    want = []
+    for i, v in rows:
+        near = sorted((sum((a - b) ** 2 for a, b in zip(v, w)), j) for j, w in rows if j != i)
+        want += [(i, j, n + 1) for n, (_, j) in enumerate(near[:3])]
+    assert _col(got, "id", "other", "nth") == sorted(want)

@@ -18,6 +18,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 
@@ -26,6 +27,11 @@ from punctata.llm.units import UnitCache
 
 _HELD: dict[str, Bpe] = {}
 
+#: White space to Python and Arrow alone; the vocabulary's pattern takes these for marks.
+_CONTROLS = "[\x1c-\x1f]"
+#: Marks that the pattern keeps apart from the letters before them.
+_MARKS = frozenset(".,;:!?")
+
 
 def byte_characters() -> list[str]:
     """The printable stand-in of each byte: printable Latin-1 bytes are themselves, others follow from U+0100."""
@@ -35,92 +41,146 @@ def byte_characters() -> list[str]:
 
 
 class Bpe:
-    """Encoder and decoder of one vocabulary file."""
+    """Encoder and decoder of one vocabulary file; at most ``2 * most`` pieces' ids are kept as bytes."""
 
-    def __init__(self, path: str, most: int = 50_000):
+    def __init__(self, path: str, most: int = 250_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
-        self.ids: dict[str, int] = model["vocab"]
-        self.end = model["end_of_word_suffix"] or ""
+        ids: dict[str, int] = model["vocab"]
+        end = model["end_of_word_suffix"] or ""
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.strings = {i: s for s, i in (self.ids | self.special).items()}
+        self.strings = {i: s for s, i in (ids | self.special).items()}
         splitter = spec["pre_tokenizer"]["pretokenizers"][0]
         self.pattern = regex.compile(splitter["pattern"]["Regex"])
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
-        #: (left id, right id) -> (rank, merged id)
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        #: For each left id: right id -> rank. The last entry, that of a symbol merged away (-1), is empty.
+        none: dict[int, int] = {}
+        self.ranks: list[dict[int, int]] = [none] * (max(ids.values()) + 2)
+        self.into: list[int] = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[self.ids[left], self.ids[right]] = rank, self.ids[left + right]
+            if self.ranks[ids[left]] is none:
+                self.ranks[ids[left]] = {}
+            self.ranks[ids[left]][ids[right]] = rank
+            self.into.append(ids[left + right])
         shown = byte_characters()
-        self.inner = [self.ids[c] for c in shown]
-        self.last = [self.ids[c + self.end] for c in shown]
-        self.pieces = UnitCache(lambda xs: [self.merged(x) for x in xs], most)
-        self.words = UnitCache(self._words, most)
+        self.inner = [ids[c] for c in shown]
+        self.last = [ids[c + end] for c in shown]
+        self.pieces = UnitCache(lambda xs: [array("I", self.merged(x)).tobytes() for x in xs], most)
+        #: Each vocabulary string and the space after it, by id.
+        self.spaced = pa.array([self.strings.get(i, "") + " " for i in range(max(self.strings) + 1)], pa.large_string())
 
     def merged(self, piece: str) -> list[int]:
-        """Ids of one piece of the pattern."""
+        """Ids of one piece of the pattern, or of what a special token is.
+
+        The queue holds rank and place in one number. An entry is stale when the pair at its place has another rank.
+        """
+        if piece in self.special:
+            return [self.special[piece]]
         raw = piece.encode()
+        n = len(raw)
         symbols = [self.inner[b] for b in raw]
         symbols[-1] = self.last[raw[-1]]
-        n = len(symbols)
+        ranks, into = self.ranks, self.into
+        shift = 14 if n < 1 << 14 else 40  # small numbers are compared faster
+        mask = (1 << shift) - 1
+        queue = []
+        left, i = symbols[0], 0
+        for right in symbols[1:]:
+            if (m := ranks[left].get(right)) is not None:
+                queue.append(m << shift | i)
+            left = right
+            i += 1
+        if not queue:
+            return symbols
+        heapq.heapify(queue)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        merges, queue = self.merges, []
-        for i in range(n - 1):
-            if m := merges.get((symbols[i], symbols[i + 1])):
-                queue.append((m[0], i, m[1]))
-        heapq.heapify(queue)
+        pop, push = heapq.heappop, heapq.heappush
         while queue:
-            rank, i, into = heapq.heappop(queue)
+            top = pop(queue)
+            i, m = top & mask, top >> shift
             j = after[i]
-            if symbols[i] < 0 or j >= n or merges.get((symbols[i], symbols[j])) != (rank, into):
+            if j >= n or ranks[symbols[i]].get(symbols[j]) != m:
                 continue
-            symbols[i], symbols[j] = into, -1
+            symbols[i] = new = into[m]
+            symbols[j] = -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if m := merges.get((into, symbols[k])):
-                    heapq.heappush(queue, (m[0], i, m[1]))
-            if (h := before[i]) >= 0 and (m := merges.get((symbols[h], into))):
-                heapq.heappush(queue, (m[0], h, m[1]))
+                if (m := ranks[new].get(symbols[k])) is not None:
+                    push(queue, m << shift | i)
+            if (h := before[i]) >= 0 and (m := ranks[symbols[h]].get(new)) is not None:
+                push(queue, m << shift | h)
         return [s for s in symbols if s >= 0]
 
-    def _words(self, words: list[str]) -> list[tuple[bytes, str]]:
-        """Of each run of non-space characters: its ids as bytes and its decoded text."""
-        split, flat = [], []
+    def _split(self, words: list[str]) -> tuple[list[str], list[int]]:
+        """The pieces of all words, one word after the other, and how many there are up to each word's end."""
+        flat: list[str] = []
+        ends = [0]
         for word in words:
-            own: list[str | int] = []
-            for part in self.specials.split(word) if "<|" in word else (word,):
-                if part in self.special:
-                    own.append(self.special[part])
-                elif part:
-                    text = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                    own += self.pattern.findall(text.lower())
-            split.append(own)
-            flat += [x for x in own if isinstance(x, str)]
-        found = iter(self.pieces.values(flat))
-        out = []
-        for own in split:
-            ids = [i for x in own for i in (next(found) if isinstance(x, str) else (x,))]
-            out.append((array("I", ids).tobytes(), self.decode(ids)))
-        return out
-
-    def encode(self, text: str) -> list[tuple[bytes, str]]:
-        """Parts of the encoding of a whole text; parts without ids are left out."""
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):  # white space to Python alone
-            words = [w for w in regex.split(r"[\s--[\x1c-\x1f]]+", text, flags=regex.V1) if w]
+            if "<|" in word:
+                for part in self.specials.split(word):
+                    if part in self.special:
+                        flat.append(part)
+                    elif part:
+                        flat += self.pattern.findall(self.plain(part))
+            else:
+                text = word.lower() if word.isascii() else self.plain(word)
+                if text.isalpha():
+                    flat.append(text)
+                elif text[-1:] in _MARKS and text[:-1].isalpha():
+                    flat += (text[:-1], text[-1])
+                else:
+                    flat += self.pattern.findall(text)
+            ends.append(len(flat))
+        return flat, ends
+
+    @staticmethod
+    def plain(text: str) -> str:
+        """NFC and lower case, one character at a time."""
+        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all whole texts, one text after the other, and where each text's ids begin and end.
+
+        A text's different words are told apart by Arrow, and split and looked up once.
+        """
+        texts = pa.compute.fill_null(texts.cast(pa.large_string()), "")
+        odd = pa.compute.match_substring_regex(texts, _CONTROLS)
+        if pa.compute.any(odd).as_py():  # none of these is in a space, so a text's words are the runs between spaces
+            split = [[w for w in regex.split(r"[\s--[\x1c-\x1f]]+", x, flags=regex.V1) if w] if o else x.split() for x, o in zip(texts.to_pylist(), odd.to_pylist(), strict=True)]
+            words = pa.array(split, pa.large_list(pa.large_string()))
         else:
-            words = text.split()
-        return [x for x in self.words.values(words) if x[0]]
+            words = pa.compute.utf8_split_whitespace(texts)
+        ends, n = words.offsets.to_numpy(), len(words.values)
+        if not n:
+            return np.zeros(0, np.uint32), np.zeros(len(ends), np.int64)
+        held = words.values.dictionary_encode()
+        pieces, cuts = self._split(held.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(self.pieces.values(pieces), pa.large_binary())
+        starts = np.frombuffer(ids.buffers()[1], np.int64)[: len(pieces) + 1] if pieces else np.zeros(1, np.int64)
+        by_word = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(np.ascontiguousarray(starts[np.array(cuts)])), ids.buffers()[2]])
+        laid = by_word.take(held.indices)
+        at = np.frombuffer(laid.buffers()[1], np.int64)[: n + 1]
+        return np.frombuffer(laid.buffers()[2], "<u4", count=int(at[n]) // 4), at[ends] // 4
 
     def encode_ids(self, text: str) -> list[int]:
-        return np.frombuffer(b"".join(x[0] for x in self.encode(text)), "<u4").tolist()
+        return self.encode(pa.array([text]))[0].tolist()
 
     def decode(self, ids: list[int]) -> str:
         return " ".join([self.strings[i] for i in ids])
 
+    def decode_all(self, ids: np.ndarray, at: np.ndarray) -> list[memoryview]:
+        """Decoded UTF-8 of each text whose ids end at ``at``: vocabulary strings, a space between two."""
+        if not len(ids):
+            return [memoryview(b"")] * (len(at) - 1)
+        laid = self.spaced.take(pa.array(ids.astype(np.int32)))
+        cuts = np.frombuffer(laid.buffers()[1], np.int64)[at].tolist()
+        data = memoryview(laid.buffers()[2])
+        return [data[a : max(a, z - 1)] for a, z in zip(cuts[:-1], cuts[1:])]
+
 
 def bpe(path: str) -> Bpe:
     """One per worker process and vocabulary file."""
@@ -139,15 +199,14 @@ def encode_decode(docs: DataFrame, vocabulary: str, keep_ids: bool = False) -> D
 
     def encoded(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = bpe(vocabulary)
-        for b in batches(frames):
-            counts, first, second = [], [], []
-            for text in b.column("text").to_pylist():
-                parts = coder.encode(text or "")
-                ids, decoded = b"".join([x[0] for x in parts]), " ".join([x[1] for x in parts])
-                counts.append(len(ids) // 4)
-                first.append(ids if keep_ids else sha256(ids).hexdigest())
-                second.append(decoded if keep_ids else sha256(decoded.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(first, pa.binary() if keep_ids else pa.string()), pa.array(second, pa.string())], names)
+        for b in batches(frames, most=8 << 20):
+            ids, at = coder.encode(b.column("text"))
+            decoded = coder.decode_all(ids, at)
+            raw, cuts = memoryview(ids).cast("B") if len(ids) else memoryview(b""), (at * 4).tolist()
+            own = [raw[x:y] for x, y in zip(cuts[:-1], cuts[1:])]
+            first = [bytes(x) if keep_ids else sha256(x).hexdigest() for x in own]
+            second = [str(x, "utf-8") if keep_ids else sha256(x).hexdigest() for x in decoded]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(np.diff(at)), pa.array(first, pa.binary() if keep_ids else pa.string()), pa.array(second, pa.string())], names)
 
     names = ["doc_id", "n_tokens", *(("ids", "decoded") if keep_ids else ("ids_sha256", "decoded_sha256"))]
     kinds = ("long", "long", "binary" if keep_ids else "string", "string")

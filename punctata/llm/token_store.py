@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -57,26 +59,17 @@ def _cache(path: str) -> UnitCache:
             return out
 
         def ids(units: list[str]) -> list[bytes]:
-            """Words are separate from the marks after them, so a word with a mark is its word and its mark."""
+            """Ids of new keys: a key stands for a space and itself, or for what follows if it begins with a space."""
             units = [u[1:] if u[:1] == " " else " " + u for u in units]
             out: list = [None] * len(units)
-            at, bases, rest = [], [], []
-            for i, u in enumerate(units):
-                if u[:1] == " " and u[1:].isalpha():
-                    at.append(i)
-                    bases.append(u)
-                elif u[-1:] in marks and u[:1] == " " and u[1:-1].isalpha():
-                    at.append(i)
-                    bases.append(u[:-1])
-                else:
-                    rest.append(i)
-            for i, base, v in zip(at, bases, words(bases), strict=True):
-                out[i] = v if len(base) == len(units[i]) else v + marks[units[i][-1]]
+            plain = [i for i, u in enumerate(units) if u[:1] == " " and u[1:].isalpha()]
+            rest = [i for i, u in enumerate(units) if u[:1] != " " or not u[1:].isalpha()]
+            for i, v in zip(plain, words([units[i] for i in plain]), strict=True):
+                out[i] = v
             for i, x in zip(rest, tk.encode_batch_fast([units[i] for i in rest], add_special_tokens=False), strict=True):
                 out[i] = array(code, x.ids).tobytes()
             return out
 
-        marks = {m: array(code, tk.encode(m, add_special_tokens=False).ids).tobytes() for m in ".,;:!?"}
         cache = UnitCache(ids, 400_000)
         cache.kind = kind
         _HELD[path] = cache
@@ -87,26 +80,54 @@ def _kind(n: int) -> str:
     return "<u2" if n <= 1 << 16 else "<u4"
 
 
+#: The byte-level pattern without the space before a piece.
+_PIECES = regex.compile(r"'(?:s|t|re|ve|m|ll|d)|\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+|\n")
+#: Units that the pattern cuts alike with a space before them and without: white space is single line feeds inside.
+_CUT = regex.compile(r"(?!')\S+(?:\n\S+)*")
+
+
+def _keys(unit: str) -> list[str]:
+    """The keys of a unit's pieces, which no token crosses; other units stay whole."""
+    word = unit.rstrip(string.punctuation)
+    if word.isalpha():  # most often
+        return [word, " " + unit[len(word) :]]
+    if "<|" in unit or not _CUT.fullmatch(unit):
+        return [unit]
+    first, *more = _PIECES.findall(unit)
+    return [first, *(" " + x for x in more)]
+
+
 def encode_bytes(texts: list[str], cache: UnitCache) -> list[bytes]:
     """Each whole text's ids, from units that stand between safe boundaries of the byte-level pattern.
 
     A key of the cache stands for a space and itself, or for what follows if it begins with a space. Texts
-    that may be cut at every space are cut, and their units told apart, by Arrow; one gather then strings
-    all ids of the batch together.
+    that may be cut at every space are cut, and their units told apart, by Arrow; a word and the marks after
+    it are keys of their own. One gather then strings all ids of the batch together.
     """
     out: list = [b""] * len(texts)
     plain = [i for i, x in enumerate(texts) if x and is_spaced(x)]
     if plain:
-        parts = pa.compute.split_pattern(pa.array([texts[i] for i in plain], pa.string()), " ")
+        parts = pa.compute.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
         ends, n = parts.offsets.to_numpy(), len(parts.values)
-        firsts = pa.array([" " + texts[i].split(" ", 1)[0] for i in plain], pa.string())
-        keys = pa.concat_arrays([parts.values, firsts]).dictionary_encode()
-        at = keys.indices.to_numpy().copy()
+        firsts = pa.array([" " + texts[i].split(" ", 1)[0] for i in plain], parts.values.type)
+        units = pa.concat_arrays([parts.values, firsts]).dictionary_encode()
+        at = units.indices.to_numpy().copy()
         at[ends[:-1]] = at[n:]
-        ids = pa.array(cache.values(keys.dictionary.to_pylist()), pa.binary()).take(pa.array(at[:n]))
-        cuts = np.frombuffer(ids.buffers()[1], np.int32)[: n + 1][ends]
-        data = memoryview(ids.buffers()[2])
-        for i, x, y in zip(plain, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        keys: list[str] = []
+        cuts = [0]
+        for u in units.dictionary.to_numpy(zero_copy_only=False).tolist():
+            if u.isalpha():
+                keys.append(u)
+            else:
+                keys += _keys(u)
+            cuts.append(len(keys))
+        ids = pa.array(cache.values(keys), pa.large_binary())
+        starts = np.frombuffer(ids.buffers()[1], np.int64)[np.array(cuts)]
+        by_unit = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(starts), ids.buffers()[2]])
+        laid = by_unit.take(pa.array(at[:n]))
+        bounds = np.frombuffer(laid.buffers()[1], np.int64)[: n + 1][ends]
+        data = memoryview(laid.buffers()[2])
+        for i, x, y in zip(plain, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             out[i] = bytes(data[x:y])
     for i in set(range(len(texts))).difference(plain):
         own = safe_units(texts[i])
@@ -154,7 +175,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int | None
         def row() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([mark]), pa.array([b"".join(data)], pa.binary()), *(pa.array([x], pa.list_(pa.int64())) for x in (keys, offsets, counts))], names)
 
-        for b in batches(frames):
+        for b in batches(frames, most=16 << 20):
             for key, ids in zip(b.column("doc_id").to_pylist(), encode_bytes([x or "" for x in b.column("text").to_pylist()], cache), strict=True):
                 ids += tail
                 frame = pack.compress(ids)

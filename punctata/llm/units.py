@@ -33,15 +33,16 @@ class UnitCache:
         out = list(map(young.get, units))
         if None in out:
             at = [i for i, v in enumerate(out) if v is None]
-            new = {units[i] for i in at}
-            known = new & self.old.keys() if self.old else ()
-            for x in known:
-                young[x] = self.old[x]
-            fresh = list(new.difference(known))
+            missed = [units[i] for i in at]
+            if self.old:
+                young.update({x: v for x, v in zip(missed, map(self.old.get, missed)) if v is not None})
+                fresh = [x for x in dict.fromkeys(missed) if x not in young]
+            else:
+                fresh = list(dict.fromkeys(missed))
             if fresh:
                 young.update(zip(fresh, self.compute(fresh), strict=True))
-            for i in at:
-                out[i] = young[units[i]]
+            for i, v in zip(at, map(young.get, missed)):
+                out[i] = v
         if len(young) > self.most:
             self.old, self.young = young, {}
         return out

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -14,14 +16,18 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or our own where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset: a temporary folder if driver and executors are one process, else a folder of the warehouse.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     held = spark.sparkContext.getCheckpointDir()
-    if not folder and not held:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-        held = spark.sparkContext.getCheckpointDir()
-    elif folder and not held:
+    if not held:
+        if not folder and re.match(r"local(\[|$)", spark.sparkContext.master):
+            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
         spark.sparkContext.setCheckpointDir(folder)
+        held = spark.sparkContext.getCheckpointDir()
     return (folder or held).rstrip("/")
 
 
@@ -29,12 +35,37 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows to the shared folder and reads them back, which cuts the lineage."""
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes what ``stored`` wrote for these frames; nothing that is still to run may read them."""
+    for df in frames:
+        if path := _PATHS.pop(df, None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """These names, changed where a column of ``df`` has the same in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -68,8 +99,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     with an edge to another node are returned. Both steps reduce by ``min`` on either side before
     rows meet, and joins are plain equi-joins that AQE can split, so a hub needs no single task.
     """
-    spark = edges.sparkSession
-    spark.sparkContext  # noqa: B018
     pairs = stored(
         edges.where(F.col("a") != F.col("b"))
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
@@ -78,6 +107,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     )
     held = _digest(pairs)
     for _ in range(rounds):
+        before = pairs
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = (
@@ -94,6 +124,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         )
         pairs = stored(small, "edges")
         now = _digest(pairs)
+        discard(before)
         if now == held:
             break
         held = now
@@ -104,8 +135,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
 
 def _digest(pairs: DataFrame) -> tuple:
-    h = F.xxhash64("a", "b")
-    return tuple(pairs.agg(F.count("*"), F.sum(F.shiftright(h, 8)), F.bit_xor(h)).first())
+    return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a", F.lit(1)))).first())
 
 
 def running_start(parts: DataFrame, part: str, amount: str, start: str) -> DataFrame:

@@ -13,10 +13,10 @@ from collections import deque
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctata.llm.common import stored
+from punctata.llm.common import free_names, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -115,8 +115,13 @@ def _refill(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"pattern": rows["pattern"], "bucket": rows["bucket"], "nth": rows["nth"], "filled": take[::-1]})
 
 
+def row_hash(seed: int = 0) -> Column:
+    """The hash that puts the rows of a mix in their seeded order."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.lit(seed))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] | Mapping = (5, 2, 1), epochs: int = 3, seed: int = 0, buckets: int = 1024, most_patterns: int = 20_000) -> DataFrame:
-    """(doc_id, size, members, source_size, target, taken, copies) for every row of ``docs(doc_id, text, source)``.
+    """(doc_id, size, members, source_size, target, taken, copies, h) for every row of ``docs(doc_id, text, source)``.
 
     ``source`` is a string, or an array of strings where sources overlap. ``size`` is the number of words
     in the text, 0 for a null text; a null source is a source of its own and comes last. ``weights`` is a
@@ -124,16 +129,17 @@ def mix(docs: DataFrame, weights: Sequence[float] | Mapping = (5, 2, 1), epochs:
     ``source_size`` and ``target`` are those of the document's first source; ``taken`` is ``copies`` times
     ``size`` and never above ``epochs`` times it. A source ends within one small document of its target.
     The choice depends on doc_id, text hash and ``seed`` only, so reruns agree; repeated rows are ranked
-    by a running sum, so ties never share a place by chance: equal rows are interchangeable. An empty table
-    gives no rows. Sources and patterns are aggregates that the driver may hold: more than
-    ``most_patterns`` patterns raise an error.
+    by a running sum, so ties never share a place by chance: equal rows are interchangeable, and share ``h``,
+    their hash. An empty table gives no rows; very long texts only send their size and hash; other columns
+    are not read. Sources and patterns are aggregates that the driver may hold: more than ``most_patterns``
+    patterns raise an error.
 
     No task holds a source: the seeded order runs over ``buckets`` hash ranges of each pattern, first
     between ranges by their sums, then inside a range.
     """
     overlapping = dict(docs.dtypes)["source"].startswith("array")
     members = F.array_sort(F.array_distinct("source"), lambda a, b: F.when(a.isNull() & b.isNull(), 0).when(a.isNull(), 1).when(b.isNull(), -1).when(a < b, -1).when(a > b, 1).otherwise(0)) if overlapping else F.array("source")
-    h = F.xxhash64("doc_id", F.coalesce("text", F.lit("")), F.lit(seed))
+    h = row_hash(seed)
     rows = stored(
         docs.select("doc_id", "text", "source").select(
             F.col("doc_id").cast("long").alias("doc_id"),
@@ -187,4 +193,18 @@ def mix(docs: DataFrame, weights: Sequence[float] | Mapping = (5, 2, 1), epochs:
     fill = edge.groupBy("pattern").applyInPandas(_refill, "pattern string, bucket int, nth int, filled long")
     out = chosen.join(fill, ["pattern", "bucket", "nth"], "left")
     copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce("filled", "extra")).otherwise(F.least(F.lit(1), F.col("whole") + F.col("extra")))
-    return out.withColumn("copies", copies.cast("long")).select("doc_id", "size", "members", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
+    return out.withColumn("copies", copies.cast("long")).select("doc_id", "size", "members", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "h")
+
+
+def repeat_rows(docs: DataFrame, weights: Sequence[float] | Mapping = (5, 2, 1), epochs: int = 3, seed: int = 0) -> DataFrame:
+    """The rows of ``docs``, all columns under any names, each as often as ``mix`` takes it, or not at all.
+
+    Rows of one doc_id and text share what the mix takes of them: evenly, the first ones once more. Null
+    doc_ids, null and very long texts and empty tables as in ``mix``.
+    """
+    h, total, rows, nth, copies, copy, doc = free_names(docs, "h", "total", "rows", "nth", "copies", "copy", "doc")
+    taken = mix(docs.select("doc_id", "text", "source"), weights, epochs, seed).groupBy(F.col("doc_id").alias(doc), F.col("h").alias(h)).agg(F.sum("copies").alias(total), F.count("*").alias(rows)).where(F.col(total) > 0)
+    joined = docs.join(taken, docs["doc_id"].eqNullSafe(F.col(doc)) & (row_hash(seed) == F.col(h)))
+    each = Window.partitionBy(doc, h).orderBy(h)
+    out = joined.withColumn(nth, F.row_number().over(each)).withColumn(copies, F.expr(f"`{total}` div `{rows}`") + (F.col(nth) <= F.col(total) % F.col(rows)).cast("long")).where(F.col(copies) > 0)
+    return out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*(docs[c] for c in docs.columns))

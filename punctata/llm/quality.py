@@ -134,16 +134,18 @@ def _features(docs: DataFrame) -> DataFrame:
     def taken(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(frames):
             rows = [statistics(x) for x in utf8(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("y").cast(pa.float64()), pa.array(rows, pa.list_(pa.float64()))], ["y", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("h"), b.column("y").cast(pa.float64()), pa.array(rows, pa.list_(pa.float64()))], ["h", "y", "x"])
 
-    return docs.select("y", "text").mapInArrow(taken, "y double, x array<double>")
+    return docs.select("h", "y", "text").mapInArrow(taken, "h long, y double, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, folds: int = 5) -> Trees:
     """Trees fitted on at most ``most`` labelled rows, chosen by hash of doc_id among those not held out.
 
     Rows whose crc32(doc_id as text) is divisible by ``folds`` are held out. Rows with a null label or
-    doc_id are not used; of several labels of a document the least is.
+    doc_id are not used; of several labels of a document the least is. A doc_id that many rows of ``docs``
+    repeat brings all of them, but ``most`` rows at most in all. A null text counts as an empty one; very
+    long texts are read whole. Without labelled rows, or with one label only, all scores are equal.
     """
     chosen = (
         labels.select("doc_id", F.col("quality").alias("y"))
@@ -151,8 +153,9 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, folds: int = 5
         .groupBy("doc_id").agg(F.min("y").alias("y"))
         .orderBy(F.xxhash64("doc_id", F.lit("train")), "doc_id").limit(most)
     )
-    # At most `most` rows of two numbers.
-    rows = _features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")).collect()
+    # At most `most` rows of two numbers go out, and as many rows of statistics come back.
+    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("h", F.xxhash64("doc_id", F.lit("train"), "text"))
+    rows = _features(known).orderBy("h", "y", "x").limit(most).collect()
     rows.sort(key=lambda r: (r.y, r.x))
     return fit(np.array([r.x for r in rows]).reshape(-1, len(NAMES)), np.array([r.y for r in rows], dtype=float))
 
@@ -160,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, folds: int = 5
 def score(docs: DataFrame, model: Trees, threshold: float = 0.3, folds: int = 5) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every whole text; a null text is scored as an empty one.
 
-    A null doc_id is not held out. Repeated rows repeat; an empty table gives no rows. Only the text goes
+    A null doc_id is not held out. Repeated rows repeat and equal texts have equal scores; an empty table
+    gives no rows; a very long text is one batch of its own. Other columns are not read. Only the text goes
     into a score. No shuffle.
     """
 
@@ -175,7 +179,11 @@ def score(docs: DataFrame, model: Trees, threshold: float = 0.3, folds: int = 5)
 
 
 def keep_good(docs: DataFrame, model: Trees, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is not rejected."""
+    """The rows of ``docs``, all columns under any names, whose text scores ``threshold`` or more.
+
+    A null text is scored as an empty one; null doc_ids do not matter; repeated rows fare alike; an empty
+    table gives no rows; very long texts are read whole.
+    """
     schema = docs.schema
 
     def kept(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

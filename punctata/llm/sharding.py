@@ -18,12 +18,15 @@ from pyspark.sql import functions as F
 Leaf = tuple[str, str, int, float]
 
 
-def default_tree(shards: int, racks: int = 2, per_rack: int = 2, regions: int = 2) -> list[Leaf]:
-    """``regions`` x ``racks`` x ``per_rack`` equal shards; each further shard is a region of its own."""
-    base = regions * racks * per_rack
+def default_tree(shards: int, base: int | None = None, racks: int = 2, per_rack: int = 2) -> list[Leaf]:
+    """The first ``base`` shards (all, if not given) fill racks of ``per_rack`` and regions of ``racks`` in turn,
+    all of one weight; each further shard is a region of its own.
+
+    A layout that grows keeps its ``base``: then one shard more takes rows only into itself.
+    """
     out = []
     for s in range(shards):
-        if shards >= base and s < base:
+        if s < (shards if base is None else base):
             region, inside = divmod(s, racks * per_rack)
             out.append((f"g{region}", f"k{inside // per_rack}", s, 1.0))
         else:
@@ -64,16 +67,19 @@ def shard_of(key: Column, tree: Sequence[Leaf]) -> Column:
     return _choose(key, "", [(r, sum(w for v in racks.values() for _, w in v), region_value(r, racks)) for r, racks in regions.items()])
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, tree: Sequence[Leaf] | None = None, buckets: int = 4096) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, base: int | None = None, tree: Sequence[Leaf] | None = None, buckets: int = 4096) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row of ``docs(doc_id, text)``.
 
     ``size``: UTF-8 bytes of the text (null: none) plus 1. ``shard`` depends on doc_id and the tree alone
-    (a null doc_id is hashed as null); ``grown_shard`` is the shard in the tree with one shard more.
-    ``slot`` numbers a shard's rows from 0 without gaps, by hash bucket, doc_id and text: bucket counts
-    (at most shards x ``buckets`` rows) give each bucket's first slot, and rows are ranked inside a bucket,
-    so no task holds a whole shard. Repeated rows get slots of their own; an empty table gives no rows.
+    (a null doc_id is hashed as null); ``grown_shard`` is the shard in the tree with one shard more, which is
+    ``shard`` for ``shards + 1`` and the ``base`` of this layout (``shards`` if not given).
+    ``slot`` numbers a shard's rows from 0 without gaps, by a hash bucket of doc_id and text, then by both:
+    bucket counts (at most shards x ``buckets`` rows) give each bucket's first slot, and rows are ranked inside
+    a bucket, so no task holds a whole shard, whatever doc_id its rows repeat. Null texts are empty; very long
+    ones only send their size and crc32; other columns are not read. Repeated rows get slots of their own; an
+    empty table gives no rows.
     """
-    tree = list(tree or default_tree(shards))
+    tree = list(tree or default_tree(shards, base))
     grown = [*tree, (f"own{len(tree)}", "k0", len(tree), 1.0)]
     raw = F.encode("text", "UTF-8")
     key = F.col("doc_id")
@@ -84,7 +90,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, tree: Sequence[Leaf] | Non
         F.lit("key").alias("law"),
         shard_of(key, tree).cast("int").alias("shard"),
         shard_of(key, grown).cast("int").alias("grown_shard"),
-        F.pmod(F.xxhash64(key, F.lit("slot")), F.lit(buckets)).cast("int").alias("bucket"),
+        F.pmod(F.xxhash64(key, "text", F.lit("slot")), F.lit(buckets)).cast("int").alias("bucket"),
     )
     w = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
     ranked = rows.withColumn("inside", F.row_number().over(w) - 1)

@@ -15,10 +15,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctata.llm.common import batches, components, stored, utf8
+from punctata.llm.common import batches, components, discard, free_names, stored, utf8
 
 
 def shingle_hashes(raw: bytes, width: int = 3, seed: int = 42) -> np.ndarray:
@@ -52,18 +53,6 @@ def fingerprint(raw: bytes, width: int = 3, seed: int = 42) -> int:
     return majority(shingle_hashes(raw, width, seed))
 
 
-def part_fingerprints(hashes: np.ndarray, mean: int = 8) -> np.ndarray:
-    """Fingerprints of a text's parts, which end at shingles whose hash is divisible by ``mean``: an edit moves no other cut."""
-    out = []
-    for at in range(0, len(hashes), 1 << 16):
-        h = hashes[at : at + (1 << 16)]
-        starts = np.concatenate([[0], np.flatnonzero(h[:-1] % np.uint64(mean) == 0) + 1])
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
-        out.append(np.packbits(ones * 2 > np.diff(np.append(starts, len(h)))[:, None], axis=1, bitorder="little").view(np.uint64).ravel())
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
-
-
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """(doc_id, th, fp long) of every whole text, th its hash; the 64 bits stand in a signed long."""
 
@@ -229,12 +218,16 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
     """(a, b): links between text hashes whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity``.
 
     The links span all components of such pairs. In an order of all shingles, frequent ones last, two similar
-    texts of n shingles share one of their first n - ceil(similarity n) + 1 each: these are a text's keys. Texts
-    of a key are compared with the ``before`` texts ahead and the key's first text, the one of the most frequent
-    shingles. That is every pair of a small key. Of larger ones the texts whose components differ after these
-    links are compared all with all, in blocks of about ``block`` texts, each block with each. Lengths, the
-    keys' places and the sizes of hashed buckets only leave out what can't be similar; all other pairs are
-    verified on their whole shingle sets.
+    texts of n shingles share one of their first n - ceil(similarity n) + 1 each: these are a text's keys. Three
+    passes follow, each over pairs whose components the passes before left apart:
+
+    1. of a key's texts each with the one ahead and with the first, the one of the most frequent shingles;
+    2. each with the ``before`` texts ahead, which is every pair of a small key;
+    3. of larger keys all with all, in blocks of about ``block`` texts, each block with each.
+
+    Lengths, the keys' places and the sizes of hashed buckets only leave out what can't be similar; all other
+    pairs are verified on their whole shingle sets. Null texts and texts without words have no links; repeated
+    texts are one; an empty table gives no rows; very long texts travel compressed, once for each pair.
     """
     spark = docs.sparkSession
     texts = docs.select("text", F.xxhash64("text").alias("th")).where(F.col("text").isNotNull())
@@ -265,7 +258,7 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], ["key", "turn", "th", "n", "at"])
 
     def windows(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs (key null), and the rows (key, a, n, at) of keys with more than ``before`` + 1 texts."""
+        """Pairs (key null, n their pass), and the rows (key, a, n, at) of keys with more than ``before`` + 1 texts."""
         held = None
         for b in frames:
             now = [b.column(c).to_numpy(zero_copy_only=False) for c in ("key", "th", "n", "at")]
@@ -291,11 +284,11 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
                 live = live[off[live] >= back]
                 i, j = live, live - back
                 keep = _able(i, j, n, at, similarity)
-                found.append(np.column_stack([th[i], th[j]])[keep])
-            i = idx[old:][off[old:] > before]
-            found.append(np.column_stack([th[i], th[head[i]]])[_able(i, head[i], n, at, similarity)])
-            pairs = np.concatenate(found)
-            pairs = _pairs(pairs[:, 0], pairs[:, 1])
+                found.append(np.column_stack([th[j], th[i], np.full(len(i), 1 + (back > 1))])[keep])
+            i = idx[old:][off[old:] > 1]
+            keep = _able(i, head[i], n, at, similarity)
+            found.append(np.column_stack([th[head[i]], th[i], np.ones(len(i), np.int64)])[keep])
+            pairs = np.unique(np.concatenate(found), axis=0)
             full = idx[old:][off[old:] == before + 1]
             rows = np.concatenate([(full[:, None] - np.arange(before + 2)).ravel(), idx[old:][off[old:] > before + 1]])
             p, r = len(pairs), len(rows)
@@ -305,7 +298,7 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
                         pa.concat_arrays([pa.nulls(p, pa.int64()), pa.array(key[rows])]),
                         pa.array(np.concatenate([pairs[:, 0], th[rows]])),
                         pa.array(np.concatenate([pairs[:, 1], th[rows]])),
-                        pa.array(np.concatenate([np.zeros(p, np.int32), n[rows]])),
+                        pa.array(np.concatenate([pairs[:, 2].astype(np.int32), n[rows]])),
                         pa.array(np.concatenate([np.zeros(p, np.int32), at[rows]])),
                     ],
                     ["key", "a", "b", "n", "at"],
@@ -313,11 +306,20 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
             tail = np.unique(np.concatenate([[head[-1]], np.arange(max(int(head[-1]), len(key) - before), len(key))]))
             held = [x[tail] for x in (key, th, n, at, off)]
 
-    def buckets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each different text of a task once, compressed."""
+        seen: set = set()
+        pack = zstandard.ZstdCompressor(level=1)
         for b in batches(frames):
-            sizes = [np.bincount((np.unique(shingle_hashes(x, width)) & np.uint64(255)).astype(np.int64), minlength=256) for x in utf8(b.column("text"))]
-            packed = [(s if s.max() < 255 else np.full(256, 255)).astype(np.uint8).tobytes() for s in sizes]
-            yield pa.RecordBatch.from_arrays([b.column("th"), pa.array(packed, pa.binary())], ["th", "sizes"])
+            b = _once(b, seen)
+            yield pa.RecordBatch.from_arrays([b.column("th"), pa.array([pack.compress(x) for x in utf8(b.column("text"))], pa.binary())], ["th", "z"])
+
+    def buckets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for b in frames:
+            sizes = [np.bincount((np.unique(shingle_hashes(unpack.decompress(x), width)) & np.uint64(255)).astype(np.int64), minlength=256) for x in b.column("z").to_pylist()]
+            small = [(s if s.max() < 255 else np.full(256, 255)).astype(np.uint8).tobytes() for s in sizes]
+            yield pa.RecordBatch.from_arrays([b.column("th"), pa.array(small, pa.binary())], ["th", "sizes"])
 
     def crossed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs of unlike components of each group (key, x, y): block x with block y; the rows come sorted."""
@@ -361,42 +363,58 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
         if held is not None:
             yield from of(held)
 
-    def sets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for b in batches(frames):
-            b = _once(b, seen)
-            yield pa.RecordBatch.from_arrays([b.column("th"), pa.array([np.unique(shingle_hashes(x, width)).tobytes() for x in utf8(b.column("text"))], pa.binary())], ["th", "s"])
-
     def verified(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        last, x = None, np.zeros(0, np.uint64)
         for b in frames:
             keep = []
-            for x, y in zip(b.column("sa").to_pylist(), b.column("sb").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for t, za, zb in zip(b.column("a").to_pylist(), b.column("za").to_pylist(), b.column("zb").to_pylist(), strict=True):
+                if t != last:  # rows come sorted by a
+                    last, x = t, np.unique(shingle_hashes(unpack.decompress(za), width))
+                y = np.unique(shingle_hashes(unpack.decompress(zb), width))
                 small, big = sorted((len(x), len(y)))
                 both = len(np.intersect1d(x, y, assume_unique=True)) if small >= similarity * big else 0
                 keep.append(both >= similarity * (small + big - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    def whole(wanted: DataFrame) -> DataFrame:
+        """(th, z) of the texts ``wanted(th)``, one row each."""
+        return texts.mapInArrow(packed, "th long, z binary").join(wanted, "th", "left_semi").groupBy("th").agg(F.first("z").alias("z"))
+
     def linked(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs, "candidates")
-        wanted = pairs.select(F.col("a").alias("th")).union(pairs.select("b")).distinct()
-        known = texts.join(wanted, "th", "left_semi").select("text", "th").mapInArrow(sets, "th long, s binary").groupBy("th").agg(F.first("s").alias("s"))
-        known = stored(known, "shingles")
-        both = pairs.join(known.select(F.col("th").alias("a"), F.col("s").alias("sa")), "a").join(known.select(F.col("th").alias("b"), F.col("s").alias("sb")), "b")
-        return stored(both.select("a", "b", "sa", "sb").mapInArrow(verified, "a long, b long"), "links")
+        known = whole(pairs.select(F.col("a").alias("th")).union(pairs.select("b")).distinct())
+        both = pairs.join(known.select(F.col("th").alias("b"), F.col("z").alias("zb")), "b").join(known.select(F.col("th").alias("a"), F.col("z").alias("za")), "a")
+        return stored(both.select("a", "b", "za", "zb").mapInArrow(verified, "a long, b long"), "links")
+
+    def apart(pairs: DataFrame, part: DataFrame) -> DataFrame:
+        """The pairs whose components ``part(th, component)`` differ."""
+        for side in ("a", "b"):
+            pairs = pairs.join(part.select(F.col("th").alias(side), F.col("component").alias(f"{side}_part")), side, "left")
+        return pairs.where(F.coalesce("a_part", "a") != F.coalesce("b_part", "b")).select("a", "b")
 
     grid = texts.mapInArrow(dealt, "key long, turn int, th long, n int, at int").repartition("key").sortWithinPartitions("key", "turn", "th")
     found = stored(grid.mapInArrow(windows, "key long, a long, b long, n int, at int"), "windows")
-    first = linked(found.where("key IS NULL").select("a", "b").distinct())
+    pairs = stored(found.where("key IS NULL").groupBy("a", "b").agg(F.min("n").alias("turn")), "candidates")
+    links = linked(pairs.where("turn = 1").select("a", "b"))
+    part = components(links).withColumnRenamed("node", "th")
+    second = stored(apart(pairs.where("turn = 2").select("a", "b"), part), "candidates")
+    if not second.isEmpty():
+        links = links.union(linked(second))
+        part = components(links).withColumnRenamed("node", "th")
     large = found.where("key IS NOT NULL").select("key", F.col("a").alias("th"), "n", "at")
-    part = components(first).withColumnRenamed("node", "th")
     large = stored(large.join(part, "th", "left").withColumn("component", F.coalesce("component", "th")), "large")
     mixed = large.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = stored(large.join(mixed.select("key", F.ceil(F.col("m") / block).alias("blocks")), "key"), "open")
-    sizes = texts.join(open_.select("th").distinct(), "th", "left_semi").dropDuplicates(["th"]).select("text", "th").mapInArrow(buckets, "th long, sizes binary")
+    discard(found, pairs, second, large)
+    if open_.isEmpty():
+        return links
+    sizes = whole(open_.select("th").distinct()).mapInArrow(buckets, "th long, sizes binary")
     own = open_.join(sizes, "th").withColumn("own", F.pmod(F.xxhash64("th"), "blocks")).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     ready = own.select("key", F.least("own", "o").alias("x"), F.greatest("own", "o").alias("y"), "own", "th", "n", "at", "component", "sizes").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return first.union(linked(ready.mapInArrow(crossed, "a long, b long").distinct()))
+    third = stored(ready.mapInArrow(crossed, "a long, b long").distinct(), "candidates")
+    links = links.union(linked(third))
+    discard(open_, third)
+    return links
 
 
 def _named(docs: DataFrame, width: int, bits: int, similarity: float | None = None) -> DataFrame:
@@ -429,16 +447,19 @@ def simhash_components(docs: DataFrame, width: int = 3, bits: int = 2, similarit
     Documents link when their fingerprints differ in at most ``bits`` bits; ``component_id`` is the least
     doc_id that links reach, the row itself included. Null and wordless texts have fingerprint 0 and link
     like any other. A null doc_id stays null and takes the least known id of its component. Repeated rows
-    repeat; an empty table gives no rows. With ``similarity``, texts whose shingle sets are as similar link too.
+    repeat; an empty table gives no rows; very long texts are hashed whole; other columns are not read. With
+    ``similarity``, texts whose shingle sets are as similar link too.
     """
     return _named(docs, width, bits, similarity).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, width: int = 5, bits: int = 2, similarity: float | None = 0.8) -> DataFrame:
-    """The rows of ``docs``, all columns, of which one document stays for each near-duplicate group.
+    """The rows of ``docs``, all columns under any names, of which one document stays for each near-duplicate group.
 
     The least doc_id stays. A null doc_id can't stand for a group: such rows stay. Of rows that repeat the
-    least doc_id all stay.
+    least doc_id all stay. Texts without words, null ones included, are copies of one another. An empty table
+    gives no rows; very long texts are compared whole.
     """
-    drop = _named(docs, width, bits, similarity).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).distinct()
-    return docs.join(drop, (docs["doc_id"] == F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_th")), "left_anti")
+    doc, th = free_names(docs, "doc", "th")
+    drop = _named(docs.select("doc_id", "text"), width, bits, similarity).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(doc), F.col("th").alias(th)).distinct()
+    return docs.join(drop, (docs["doc_id"] == F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(th)), "left_anti")

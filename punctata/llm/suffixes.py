@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctata.llm.common import batches, stored, utf8
+from punctata.llm.common import batches, free_names, stored, utf8
 
 LENGTH, GRAM, PART = 200, 64, 8
 #: Different surroundings of a gram in one task from which its rows are salted.
@@ -397,7 +397,8 @@ def removal_digests(docs: DataFrame) -> DataFrame:
 
     A byte is removed if a 200-byte string that covers it also starts anywhere else, in the same text
     included. Null texts are empty; a null doc_id stays null; a repeated row counts as another place, so
-    both lose what they share; an empty table gives no rows.
+    both lose what they share; an empty table gives no rows; very long texts are cut into pieces that overlap
+    for hashing only; other columns are not read.
     """
     found = covered_starts(docs)
 
@@ -445,18 +446,28 @@ def cut_text(text: str, spans: list[dict] | None) -> str:
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
-    """``docs`` with repeated passages cut from ``text`` and ``length`` renewed; all rows and columns stay."""
-    found = covered_starts(docs.select(F.col(text).alias("text"))).withColumnsRenamed({"th": "_th", "t2": "_t2", "spans": "_spans"})
-    key = (F.xxhash64(F.col(text)) == F.col("_th")) & ((F.crc32(F.encode(F.col(text), "UTF-8")) % 4096).cast("int") == F.col("_t2"))
+    """``docs`` with repeated passages cut from ``text`` and ``length`` renewed; all rows and columns stay.
+
+    A byte goes if a 200-byte string that covers it also starts anywhere else, but no character is cut in part.
+    Null and short texts stay as they are, repeated rows lose what they share, an empty table gives no rows.
+    Very long texts are cut as others. Other columns may have any names.
+    """
+    th, t2, spans = free_names(docs, "th", "t2", "spans")
+    long = F.octet_length(F.col(text)) >= LENGTH
+    found = covered_starts(docs.select(F.col(text).alias("text"))).withColumnsRenamed({"th": th, "t2": t2, "spans": spans})
+    key = (F.xxhash64(F.col(text)) == F.col(th)) & ((F.crc32(F.encode(F.col(text), "UTF-8")) % 4096).cast("int") == F.col(t2))
     schema, names = docs.schema, docs.columns
-    joined = docs.join(found, key, "left").select(*(docs[c] for c in names), "_spans")
+    joined = docs.where(long).join(found, key, "left").select(*(docs[c] for c in names), spans)
 
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in frames:
-            texts = [x if x is None else cut_text(x, s) for x, s in zip(b.column(text).to_pylist(), b.column("_spans").to_pylist(), strict=True)]
+            texts = [x if x is None else cut_text(x, s) for x, s in zip(b.column(text).to_pylist(), b.column(spans).to_pylist(), strict=True)]
             new = {text: pa.array(texts, b.schema.field(text).type)}
             if length in names:
                 new[length] = pa.array([n if x is None else len(x) for x, n in zip(texts, b.column(length).to_pylist(), strict=True)], b.schema.field(length).type)
             yield pa.RecordBatch.from_arrays([new.get(c, b.column(c)) for c in names], names)
 
-    return joined.mapInArrow(cut, schema)
+    short = docs.where(~F.coalesce(long, F.lit(False)))
+    if length in names:
+        short = short.withColumn(length, F.coalesce(F.length(text).cast(schema[length].dataType), F.col(length)))
+    return joined.mapInArrow(cut, schema).union(short)

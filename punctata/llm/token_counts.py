@@ -9,6 +9,7 @@ are encoded in one batch call per byte batch; those that a worker has met before
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 
@@ -21,30 +22,28 @@ from punctata.llm.common import batches
 from punctata.llm.units import UnitCache
 
 _SAFE = re.compile(r"(?<=[^ ▁]) (?=[^ ▁])")
-_HELD: dict[str, UnitCache] = {}
+_HELD: dict = {}
 
 
 def _cache(model: str) -> UnitCache:
-    """One per worker process and model."""
+    """One per worker process and sentencepiece model."""
     if model not in _HELD:
         import sentencepiece
 
-        if model.endswith(".model"):
-            sp = sentencepiece.SentencePieceProcessor(model_file=model)
-
-            def lengths(units: list[str]) -> list[int]:
-                return [len(x) for x in sp.encode(units, num_threads=1)]
-        else:
-            from tokenizers import Tokenizer
+        sp = sentencepiece.SentencePieceProcessor(model_file=model)
+        _HELD[model] = UnitCache(lambda units: [len(x) for x in sp.encode(units, num_threads=1)])
+    return _HELD[model]
 
-            tk = Tokenizer.from_file(model)
-            tk.no_truncation()
-            tk.no_padding()
 
-            def lengths(units: list[str]) -> list[int]:
-                return [len(x.ids) for x in tk.encode_batch(units, add_special_tokens=False)]
+def _tokenizer(model: str):
+    """One per worker process and file of the tokenizers library."""
+    if model not in _HELD:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-        _HELD[model] = UnitCache(lengths)
+        _HELD[model] = Tokenizer.from_file(model)
+        _HELD[model].no_truncation()
+        _HELD[model].no_padding()
     return _HELD[model]
 
 
@@ -58,22 +57,25 @@ def units_of(text: str) -> list[str]:
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, batch_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) of every whole text of ``docs(doc_id, text)``.
 
-    ``model``: path of a sentencepiece model. A null text counts as empty: 0 bytes, 0 tokens. A null
-    doc_id stays null; repeated rows give repeated rows; other columns are not read; an empty table
-    gives no rows. No shuffle: each scan task counts its own rows.
+    ``model``: path of a sentencepiece ``.model``, or of a ``.json`` file of the tokenizers library, whose
+    texts are encoded whole, as its pieces may hold spaces in any way. A null text counts as empty: 0 bytes,
+    0 tokens. A null doc_id stays null; repeated rows give repeated rows; a very long text is a batch of its
+    own; other columns are not read; an empty table gives no rows. No shuffle: each scan task counts its own rows.
     """
 
     def counted(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(model)
         for b in batches(frames, most=batch_bytes):
             texts = [x or "" for x in b.column("text").to_pylist()]
-            units: list[str] = []
-            ends = np.zeros(len(texts) + 1, np.int64)
-            for i, x in enumerate(texts):
-                units += units_of(x)
-                ends[i + 1] = len(units)
-            sums = np.concatenate([[0], np.cumsum(np.asarray(cache.values(units), dtype=np.int64))])
-            n = sums[ends[1:]] - sums[ends[:-1]]
+            if model.endswith(".json"):
+                n = np.array([len(x.ids) for x in _tokenizer(model).encode_batch_fast(texts, add_special_tokens=False)], np.int64)
+            else:
+                units: list[str] = []
+                ends = np.zeros(len(texts) + 1, np.int64)
+                for i, x in enumerate(texts):
+                    units += units_of(x)
+                    ends[i + 1] = len(units)
+                sums = np.concatenate([[0], np.cumsum(np.asarray(_cache(model).values(units), dtype=np.int64))])
+                n = sums[ends[1:]] - sums[ends[:-1]]
             size = pa.compute.fill_null(pa.compute.binary_length(b.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), size, pa.array(n), pa.array(n > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 

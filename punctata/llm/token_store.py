@@ -14,7 +14,9 @@ import os
 import string
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from punctata.llm.units import UnitCache, is_spaced, safe_units
 
 _HELD: dict[str, UnitCache] = {}
 
-SEGMENT = "part int, seg int, dict_hash string, data binary, doc_ids array<long>, offsets array<long>, n_tokens array<long>"
+SEGMENT = "part int, seg int, first_id long, last_id long, dict_hash string, data binary, doc_ids array<long>, offsets array<long>, n_tokens array<long>"
 
 
 def _cache(path: str) -> UnitCache:
@@ -142,7 +144,7 @@ def train_dictionary(docs: DataFrame, vocabulary: str, sample: int = 800, longes
     """
     known = docs.select("text", F.xxhash64("text", F.lit("dictionary")).alias("h")).where(F.length("text").between(1, longest))
     # Tasks send hashes only; the texts up to the last hash follow, of copies one.
-    last = known.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    last = known.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
     rows = known.where(F.col("h") <= F.lit(last)).groupBy("h").agg(F.first("text").alias("text")).orderBy("h").collect()
     blobs = encode_bytes([r.text for r in rows], _cache(vocabulary))
     try:
@@ -154,8 +156,10 @@ def train_dictionary(docs: DataFrame, vocabulary: str, sample: int = 800, longes
 def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int | None = None, level: int = 3, segment_bytes: int = 2 << 20) -> str:
     """Encodes every whole text of ``docs(doc_id, text)`` and writes the store; returns ``path``.
 
-    Null texts are empty. Rows are in ascending (doc_id, text) order, null doc_ids first; repeated rows
-    are kept. ``end_id`` is appended to each document. One range shuffle of the texts by doc_id.
+    Null texts are empty. Rows are in ascending order of doc_id, null doc_ids first, then of the text's hash
+    and the text; repeated rows are kept; a very long text is one frame; other columns are not read; an empty
+    table gives a store without segments. ``end_id`` is appended to each document. One range shuffle of the
+    texts, by doc_id and hash, so that many texts of one doc_id spread.
     """
     spark = docs.sparkSession
     words = train_dictionary(docs, vocabulary)
@@ -173,7 +177,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int | None
         data, keys, offsets, counts, at = [], [], [], [], 0
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), pa.array([mark]), pa.array([b"".join(data)], pa.binary()), *(pa.array([x], pa.list_(pa.int64())) for x in (keys, offsets, counts))], names)
+            known = [x for x in keys if x is not None]
+            ends = [pa.array([known[0] if known else None], pa.int64()), pa.array([known[-1] if known else None], pa.int64())]
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seg], pa.int32()), *ends, pa.array([mark]), pa.array([b"".join(data)], pa.binary()), *(pa.array([x], pa.list_(pa.int64())) for x in (keys, offsets, counts))], names)
 
         for b in batches(frames, most=16 << 20):
             for key, ids in zip(b.column("doc_id").to_pylist(), encode_bytes([x or "" for x in b.column("text").to_pylist()], cache), strict=True):
@@ -193,7 +199,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int | None
     names = [x.split()[0] for x in SEGMENT.split(", ")]
     kind = _cache(vocabulary).kind
     spark.createDataFrame([(mark, bytearray(words), kind)], "dict_hash string, dict binary, kind string").coalesce(1).write.parquet(f"{path}/dictionary")
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")
     # The frames are compressed already.
     ordered.mapInArrow(packed, SEGMENT).write.option("compression", "none").parquet(f"{path}/segments")
     return path
@@ -232,7 +238,37 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
     return rows.join(bases, ["part", "seg"]).select("doc_id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", F.col("ids").alias("ids_crc32" if digest else "ids"))
 
 
+def read_documents(spark: SparkSession, path: str, ids: Sequence[int]) -> DataFrame:
+    """(doc_id, n_tokens, ids array<long>) of the documents ``ids``, a short list: only their frames are decompressed.
+
+    Parquet skips segments by their first and last doc_id; the offset index leads to the frame inside one.
+    Repeated doc_ids give all their documents, unknown ones none.
+    """
+    held = spark.read.parquet(f"{path}/dictionary").first()
+    words, kind, mark = bytes(held.dict), held.kind, held.dict_hash
+    wanted = sorted({int(x) for x in ids})
+    near = reduce(or_, ((F.col("first_id") <= x) & (F.col("last_id") >= x) for x in wanted), F.lit(False))
+
+    def taken(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(words) if words else None)
+        want = set(wanted)
+        for b in frames:
+            for r in b.to_pylist():
+                if r["dict_hash"] != mark:
+                    raise ValueError("these frames need another dictionary")
+                at = [i for i, x in enumerate(r["doc_ids"]) if x in want]
+                if at:
+                    data, ends = memoryview(r["data"]), [*r["offsets"][1:], len(r["data"])]
+                    out = [np.frombuffer(unpack.decompress(data[r["offsets"][i] : ends[i]]), kind).tolist() for i in at]
+                    yield pa.RecordBatch.from_arrays([pa.array([r["doc_ids"][i] for i in at], pa.int64()), pa.array([r["n_tokens"][i] for i in at], pa.int64()), pa.array(out, pa.list_(pa.int64()))], ["doc_id", "n_tokens", "ids"])
+
+    return spark.read.schema(SEGMENT).parquet(f"{path}/segments").where(near).mapInArrow(taken, "doc_id long, n_tokens long, ids array<long>")
+
+
 def token_digests(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """Writes the store to the shared folder and reads (doc_id, start, n_tokens, ids_crc32) back from it."""
+    """Writes the store to the shared folder and reads (doc_id, start, n_tokens, ids_crc32) back from it.
+
+    Nulls, repeated rows, very long texts, other columns and empty tables as in ``write_tokens``.
+    """
     spark = docs.sparkSession
     return read_tokens(spark, write_tokens(docs, vocabulary, new_path(spark, "tokens"), end_id), digest=True)

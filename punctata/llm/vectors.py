@@ -107,10 +107,12 @@ def similar_vectors(vectors: DataFrame, threshold: float = 0.9, sample: int = 8_
     compared as if padded with zeros. ``n_links`` counts other rows linked directly; ``component_id`` is the
     least vec_id that links reach, itself included; ``kept`` says whether it is the row's own. Equal
     vectors are one node with a weight, so copies are never compared; a repeated row is a copy. A null
-    vec_id takes no part in the minimum, and its ``kept`` is null. An empty table gives no rows.
+    vec_id takes no part in the minimum, and its ``kept`` is null. An empty table gives no rows; other columns
+    are not read.
 
-    At most ``sample`` vectors and ``most_tiles`` boxes come to the driver. ``block`` bounds the rows of
-    either side of a group; small inputs are cut into about a dozen blocks all the same.
+    At most ``sample`` vectors and ``most_tiles`` boxes come to the driver. A vector goes only to tiles whose
+    box is in its own reach. ``block`` bounds the rows of either side of a group; small inputs are cut into
+    about a dozen blocks all the same.
     """
     spark = vectors.sparkSession
     good = F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("embedding", lambda x: x != 0)
@@ -118,7 +120,7 @@ def similar_vectors(vectors: DataFrame, threshold: float = 0.9, sample: int = 8_
     distinct = stored(rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id()), "vectors")
     width, count = distinct.agg(F.max(F.size("v")), F.count("*")).first()
     if not count:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), (F.col("vec_id") == F.col("vec_id")).alias("kept"))
     drawn = distinct.orderBy(F.xxhash64("v", F.lit("pca"))).limit(min(sample, max(64, 4_000_000 // width))).select("v").toArrow()
     seen = _units(_matrix(drawn.column("v"), width))
     values, axes_found = np.linalg.eigh(seen.T @ seen)
@@ -159,14 +161,23 @@ def similar_vectors(vectors: DataFrame, threshold: float = 0.9, sample: int = 8_
             p = (_units(_matrix(b.column("v"), width)) @ rotation)[:, :lead]
             tile = tree.of(p)
             own = (b.column("node").to_numpy(zero_copy_only=False).view(np.uint64) % np.maximum(1, blocks[tile]).astype(np.uint64)).astype(np.int64)
-            for t, i in np.unique(np.column_stack([tile, own]), axis=0).tolist():
-                mine = b.take(pa.array(np.flatnonzero((tile == t) & (own == i))))
+            rows, others = [], []
+            for t in np.unique(tile).tolist():
+                mine = np.flatnonzero(tile == t)
                 for u in partners[t].tolist():
+                    gap = np.maximum(0, np.maximum(low[u] - p[mine], p[mine] - high[u]))
+                    near = mine[(gap * gap).sum(axis=1) <= reach]
                     for j in range(int(blocks[u])):
-                        left = (t, i) <= (u, j)
-                        key = (t, i, u, j) if left else (u, j, t, i)
-                        n = mine.num_rows
-                        yield pa.RecordBatch.from_arrays([*(pa.array(np.full(n, x)) for x in key), pa.array(np.full(n, left)), mine.column("node"), mine.column("n"), mine.column("v")], ["ta", "ia", "tb", "ib", "left", "node", "n", "v"])
+                        rows.append(near)
+                        others.append(np.full((len(near), 2), (u, j)))
+            row, other = np.concatenate(rows), np.concatenate(others)
+            for at in range(0, len(row), 8192):
+                r, (u, j) = row[at : at + 8192], other[at : at + 8192].T
+                t, i = tile[r], own[r]
+                left = (t < u) | ((t == u) & (i <= j))
+                key = (np.where(left, t, u), np.where(left, i, j), np.where(left, u, t), np.where(left, j, i))
+                mine = b.take(pa.array(r))
+                yield pa.RecordBatch.from_arrays([*map(pa.array, key), pa.array(left), mine.column("node"), mine.column("n"), mine.column("v")], ["ta", "ia", "tb", "ib", "left", "node", "n", "v"])
 
     def compared(table: pa.Table) -> pa.Table:
         same = table.column("ta")[0] == table.column("tb")[0] and table.column("ia")[0] == table.column("ib")[0]

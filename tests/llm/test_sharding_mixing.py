@@ -105,3 +105,17 @@ def test_mix_odd_rows(spark):
     assert all(r.taken <= 3 * r["size"] for r in rows)
     two = docs.selectExpr("doc_id", "text", "if(doc_id % 2 = 0, array('a', 'b'), array(source)) source")
     assert len(mixing.mix(two).collect()) == docs.count()
+
+
+def test_a_grown_layout_is_the_next_layout(spark):
+    from punctata.llm import sharding
+
+    docs = spark.range(300).selectExpr("id AS doc_id", "if(id % 7 = 0, NULL, concat('t', id)) AS text")
+    for n in (5, 7, 8):
+        grown = {r.doc_id: (r.shard, r.grown_shard) for r in sharding.shard_documents(docs, n).collect()}
+        after = {r.doc_id: r.shard for r in sharding.shard_documents(docs, n + 1, base=n).collect()}
+        assert all(after[k] == g and g in (s, n) for k, (s, g) in grown.items())
+    assert sharding.shard_documents(docs.limit(0)).count() == 0
+    same = spark.range(50).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "if(id < 25, 'x', concat('t', id)) AS text")
+    rows = sharding.shard_documents(same).collect()
+    assert sorted(r.slot for r in rows) == list(range(50))

@@ -76,3 +76,37 @@ def test_bpe_cases():
 @pytest.mark.parametrize("run", [lambda d: token_store.token_digests(d, vocabulary("byte_bpe_50k.json"), 0), lambda d: token_counts.count_tokens(d, vocabulary("piece_bpe_32k.model")), lambda d: bpe.encode_decode(d, vocabulary("word_bpe_49k.json"))])
 def test_empty(spark, run):
     assert run(frame(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_json_counts(spark):
+    from tokenizers import Tokenizer
+
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        tk = Tokenizer.from_file(vocabulary(name))
+        docs = frame(spark, texts())
+        want = [(k, len(t.encode()), n, n > 40) for k, t in _rows(docs) for n in (len(tk.encode(t, add_special_tokens=False).ids),)]
+        got = [tuple(r) for r in token_counts.count_tokens(docs, vocabulary(name), 40).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_one_document_is_read_by_its_own_frame(spark):
+    from pyspark.sql import functions as F
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    docs = spark.createDataFrame([(i, f"document number {i} says this and that, {'again ' * (i % 9)}") for i in range(400)] + [(None, "no id"), (5, "another five")], "doc_id long, text string")
+    path = token_store.write_tokens(docs, vocabulary("byte_bpe_50k.json"), new_path(spark, "t"), end_id=0, segment_bytes=2000)
+    # Every frame but that of document 77 is made unreadable.
+    whole = spark.read.schema(token_store.SEGMENT).parquet(f"{path}/segments")
+    at = "array_position(doc_ids, 77L)"
+    z = f"if({at} = size(offsets), octet_length(data), element_at(offsets, cast({at} as int) + 1))"
+    own = f"substring(data, cast(element_at(offsets, cast({at} as int)) as int) + 1, cast({z} - element_at(offsets, cast({at} as int)) as int))"
+    a = f"element_at(offsets, cast({at} as int))"
+    broken = F.expr(f"if(array_contains(doc_ids, 77L), concat(cast(repeat('x', cast({a} as int)) as binary), {own}, cast(repeat('x', cast(octet_length(data) - {z} as int)) as binary)), cast(repeat('x', octet_length(data)) as binary))")
+    other = new_path(spark, "t")
+    whole.withColumn("data", broken).write.parquet(f"{other}/segments")
+    spark.read.parquet(f"{path}/dictionary").write.parquet(f"{other}/dictionary")
+    row = token_store.read_documents(spark, other, [77]).collect()
+    assert [(r.doc_id, r.ids) for r in row] == [(77, [*tk.encode(f"document number 77 says this and that, {'again ' * 5}", add_special_tokens=False).ids, 0])]
+    assert sorted(r.doc_id for r in token_store.read_documents(spark, path, [5, 399, 1000]).collect()) == [5, 5, 399]
+    assert token_store.read_documents(spark, path, [5]).where("n_tokens <> size(ids)").count() == 0

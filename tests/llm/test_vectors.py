@@ -79,3 +79,21 @@ def test_oracle(spark):
     want = sorted(con.execute(queries.oracle_sql()["op7_similar_vectors"]).fetchall())
     rows = queries.op7_similar_vectors(spark, "/root/testdata/sf0.01").select("vec_id", "n_links", "component_id", "kept").collect()
     assert sorted(map(tuple, rows)) == want
+
+
+def test_components_of_many_edges_with_a_hub(spark):
+    from pyspark.sql import functions as F
+
+    from punctata.llm.common import components
+
+    n = 2_000_000
+    edges = spark.range(1, n).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b")).union(spark.range(n, n + 10).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")))
+    got = components(edges).groupBy("component").count().collect()
+    assert sorted((r[0], r[1]) for r in got) == [(0, n), (n, 11)]
+
+
+def test_null_ids_without_any_valid_vector(spark):
+    from punctata.llm import vectors
+
+    rows = spark.createDataFrame([(None, None), (3, [0.0, 0.0])], "vec_id long, embedding array<double>")
+    assert sorted(map(repr, map(tuple, vectors.similar_vectors(rows).collect()))) == sorted(["(None, 0, None, None)", "(3, 0, 3, True)"])

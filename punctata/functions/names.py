@@ -66,3 +66,8 @@ def role_name(c: Column) -> Column:
 
 def any_token(c: Column, tokens: tuple[str, ...]) -> Column:
     return c.rlike("|".join(tokens))
+
+
+# Words of a label that tell its neurons apart.
+INHIBITORY_TOKENS = ("inhibitory", "interneuron", "chandelier", "medium spiny")
+EXCITATORY_TOKENS = ("excitatory", "intratelencephalic", "corticothalamic", "near-projecting", "hippocampal", "mammillary", "rhombic lip")

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a folder of our own only where none is set."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    Where none is set: a temporary folder if driver and executors are one process, else one in the warehouse.
+    """
     held = spark.sparkContext.getCheckpointDir()
     if not held:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and re.match(r"local(\[|$)", spark.sparkContext.master):
+            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+        folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
         spark.sparkContext.setCheckpointDir(folder)
         held = spark.sparkContext.getCheckpointDir()
     return held

@@ -29,9 +29,12 @@ def cell_metrics_from_counts(counts: DataFrame, cells: DataFrame, cell: str = "c
 
 
 def dataset_summary(points: DataFrame, assigned: Column, per_cell: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Totals, share assigned in percent, and medians over cells; one row for each of ``by``."""
+    """Totals, share assigned in percent, and medians over cells; one row for each of ``by``.
+
+    Where ``per_cell`` has ``area`` or ``eccentricity``, their medians follow.
+    """
     totals = points.groupBy(*by).agg(F.count("*").alias("n_total"), F.count_if(assigned).alias("n_assigned"))
-    cells = per_cell.groupBy(*by).agg(F.count("*").alias("n_cells"), F.median("n_transcripts").alias("median_transcripts"), F.median("n_genes").alias("median_genes"))
+    cells = per_cell.groupBy(*by).agg(F.count("*").alias("n_cells"), F.median("n_transcripts").alias("median_transcripts"), F.median("n_genes").alias("median_genes"), *(F.median(c).alias(f"median_{c}") for c in ("area", "eccentricity") if c in per_cell.columns))
     joined = totals.join(cells, list(by)) if by else totals.crossJoin(F.broadcast(cells))
     return joined.withColumn("pct_assigned", F.col("n_assigned") * 100.0 / F.greatest("n_total", F.lit(1)))
 

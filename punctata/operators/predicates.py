@@ -78,12 +78,20 @@ def cell_rule(transcripts: float, genes: float, min_area: float, max_area: float
     return {"transcripts": F.col("n_transcripts") > transcripts, "genes": F.col("n_genes") > genes, "area": F.col("area").between(min_area, max_area)}
 
 
-def cells_then_genes(counts: DataFrame, min_counts: int, min_cells: int) -> DataFrame:
-    """Counts of cells with enough counts, then of genes seen in enough of those cells."""
+def cells_then_genes(counts: DataFrame, min_counts: int, min_cells: int, least_cells: int = 0, least_genes: int = 0) -> DataFrame:
+    """Counts of cells with enough counts, then of genes seen in enough of those cells.
+
+    Fewer than ``least_cells`` cells or ``least_genes`` genes raise; clustering needs 3 and 2.
+    """
     good = counts.groupBy("cell_id").agg(F.sum("n").alias("_s")).where(F.col("_s") >= min_counts)
     kept = counts.join(good.select("cell_id"), "cell_id", "left_semi")
     seen = kept.where("n > 0").groupBy("gene").agg(F.count("*").alias("_k")).where(F.col("_k") >= min_cells)
-    return kept.join(seen.select("gene"), "gene", "left_semi")
+    kept = kept.join(seen.select("gene"), "gene", "left_semi")
+    if least_cells or least_genes:
+        n = good.agg(F.count("*").alias("cells")).crossJoin(seen.agg(F.count("*").alias("genes"))).first()
+        if n.cells < least_cells or n.genes < least_genes:
+            raise ValueError(f"too few cells or genes remain: {n.cells} cells, {n.genes} genes")
+    return kept
 
 
 def observed_wins(points: DataFrame, axes: Sequence[str] = ("x", "y")) -> DataFrame:
@@ -92,8 +100,20 @@ def observed_wins(points: DataFrame, axes: Sequence[str] = ("x", "y")) -> DataFr
     return points.withColumns(moved).withColumns({a: F.col(f"observed_{a}") for a in axes})
 
 
-def points_contract(points: DataFrame) -> DataFrame:
-    """Types of a points table: text gene and cell, positive or null numeric ids."""
+def points_contract(points: DataFrame, keep_text: bool = False) -> DataFrame:
+    """Types of a points table: text gene and cell, positive or null numeric ids.
+
+    With ``keep_text`` an id column that holds a value which is no whole number stays text, and no value is lost;
+    one aggregate over the table finds out.
+    """
+    if keep_text:
+        ids = ["cell", "transcript_id", "assignment"]
+        bad = points.agg(*(F.coalesce(F.bool_or(F.col(c).isNotNull() & F.expr(f"try_cast({c} AS BIGINT)").isNull()), F.lit(False)).alias(c) for c in ids)).first()
+        typed = points_contract(points)
+        text = points.select(*typed.columns)
+        if any(bad):
+            return text.select(*(F.col(c).cast("string" if c not in ids or bad[c] else "bigint").alias(c) if c != "cell" or bad[c] else F.coalesce(F.expr("try_cast(cell AS BIGINT)"), F.lit(0)).alias(c) for c in typed.columns))
+        return typed
     return points.select(
         F.col("gene").cast("string").alias("gene"),
         F.coalesce(F.expr("try_cast(cell AS BIGINT)"), F.lit(0)).alias("cell"),
@@ -143,6 +163,12 @@ def neuron_split(neurotransmitter: Column) -> Column:
     return F.when(inhibitory & ~excitatory, "Inhibitory").when(excitatory & ~inhibitory, "Excitatory").otherwise("Other")
 
 
+def label_split(label: Column) -> Column:
+    """Inhibitory or excitatory by the words of a label, the inhibitory ones first; else Other."""
+    t = F.lower(F.trim(label))
+    return F.when(N.any_token(t, N.INHIBITORY_TOKENS), "Inhibitory").when(N.any_token(t, N.EXCITATORY_TOKENS), "Excitatory").otherwise("Other")
+
+
 def proximity(distance: Column, inside: Column, edges: Sequence[float] = (50, 100, 200)) -> Column:
     near, middle, far = edges
     return F.when(inside | (distance < near), "near").when(distance < middle, "middle").when(distance <= far, "far").otherwise("beyond_max")

@@ -81,15 +81,34 @@ def count_covering(points: DataFrame, shapes: DataFrame, key: str, name: str, si
     return points.join(n, key, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 
 
-def nearest_outlines(points: DataFrame, shapes: DataFrame, key: str, order: str, reach: float = 4.0, rounds: int = 12) -> DataFrame:
+def _finite(*columns: str) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    return out
+
+
+def _reach_of_all(points: DataFrame, low: DataFrame) -> float | None:
+    """A distance that no point is from any of the boxes (x0 y0 x1 y1) of ``low``; None without boxes."""
+    box = [F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")]
+    a = low.agg(*box).first()
+    b = points.select(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1")).agg(*box).first()
+    if a[0] is None:
+        return None
+    return 1.01 * ((max(a[2], b[2]) - min(a[0], b[0])) ** 2 + (max(a[3], b[3]) - min(a[1], b[1])) ** 2) ** 0.5 + 1e-6
+
+
+def nearest_outlines(points: DataFrame, shapes: DataFrame, key: str, order: str, reach: float = 4.0) -> DataFrame:
     """(key, ``order``, distance): each point's nearest outline; of equal distances the least ``order``.
 
     Shapes whose box lies within the round's reach are candidates; a result within the reach is final,
-    other points go to the next round with twice the reach and tiles twice as wide. Rounds end when no
-    point is left; each reads what the last one left from a checkpoint.
+    other points go to the next round with twice the reach and tiles twice as wide (eight times after a
+    round that found nothing). Rounds end when no point is left, at the latest when the reach spans all
+    shapes and points; each reads what the last one left from a checkpoint. Points without finite
+    coordinates have no row, and without shapes no point has.
     """
-    left, out = points.select(key, "x", "y"), None
-    for _ in range(rounds):
+    left, out, most = points.where(_finite("x", "y")).select(key, "x", "y"), None, 0.0
+    while True:
         p = left.withColumns({"_tx": tile("x", 2 * reach), "_ty": tile("y", 2 * reach)})
         near = p.join(tiled(shapes, 2 * reach, reach).select(order, "segs", "_tx", "_ty"), ["_tx", "_ty"])
         d = near.select(key, order, outline_distance(F.col("segs"), F.col("x"), F.col("y")).alias("distance")).where(F.col("distance") <= reach)
@@ -97,21 +116,25 @@ def nearest_outlines(points: DataFrame, shapes: DataFrame, key: str, order: str,
         out = best if out is None else out.unionByName(best)
         left = cut(left.join(best.select(key), key, "left_anti"))
         if left.isEmpty():
-            break
-        reach *= 2
-    return out
+            return out
+        most = most or _reach_of_all(left, shapes)
+        if most is None or reach >= most:
+            return out
+        reach *= 8 if best.isEmpty() else 2
 
 
-def nearest_points(points: DataFrame, targets: DataFrame, key: str, target: str, k: int = 1, size: float = 8.0, rounds: int = 12, skip_same: bool = False) -> DataFrame:
+def nearest_points(points: DataFrame, targets: DataFrame, key: str, target: str, k: int = 1, size: float = 8.0, skip_same: bool = False) -> DataFrame:
     """(key, target, distance, nth): the k nearest of ``targets(target, tx, ty)`` to ``points(key, x, y)``; ties by id.
 
     Candidates stand in the three by three tiles around a point, all of which are at least a tile away
-    at their outer edge; a k-th distance within one tile is final. Others go on with wider tiles; what a
-    last round finds is taken as it is (fewer than k targets in all).
+    at their outer edge; a k-th distance within one tile is final. Others go on with tiles twice as wide
+    (eight times after a round that settled nothing). The last round's tiles span all points and targets:
+    points with fewer than k targets in all get those. Points and targets without finite coordinates have no row.
     """
-    left, out = points.select(key, "x", "y"), None
+    left, out, most = points.where(_finite("x", "y")).select(key, "x", "y"), None, 0.0
+    targets = targets.where(_finite("tx", "ty"))
     w = Window.partitionBy(key).orderBy("d2", target)
-    for i in range(rounds):
+    while True:
         around = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1))))
         p = left.withColumn("_o", around).select(key, "x", "y", (tile("x", size) + F.col("_o.a")).alias("_tx"), (tile("y", size) + F.col("_o.b")).alias("_ty"))
         t = targets.select(F.col(target), "tx", "ty", tile("tx", size).alias("_tx"), tile("ty", size).alias("_ty"))
@@ -120,16 +143,18 @@ def nearest_points(points: DataFrame, targets: DataFrame, key: str, target: str,
             near = near.where(F.col(key) != F.col(target))
         d2 = (F.col("x") - F.col("tx")) * (F.col("x") - F.col("tx")) + (F.col("y") - F.col("ty")) * (F.col("y") - F.col("ty"))
         ranked = near.select(key, target, d2.alias("d2")).withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k)
-        last = i == rounds - 1
+        last = bool(most) and size >= most
         full = F.max("d2").over(Window.partitionBy(key)) <= size * size
         enough = F.count("*").over(Window.partitionBy(key)) == k
         done = cut((ranked if last else ranked.withColumn("_ok", full & enough).where("_ok").drop("_ok")).select(key, target, F.sqrt("d2").alias("distance"), "nth"))
         out = done if out is None else out.unionByName(done)
         left = cut(left.join(done.select(key).distinct(), key, "left_anti"))
-        if left.isEmpty():
-            break
-        size *= 2
-    return out
+        if last or left.isEmpty():
+            return out
+        most = most or _reach_of_all(left, targets.select(F.col("tx").alias("x0"), F.col("ty").alias("y0"), F.col("tx").alias("x1"), F.col("ty").alias("y1")))
+        if most is None:
+            return out
+        size *= 8 if done.isEmpty() else 2
 
 
 def pairs_within(points: DataFrame, key: str, reach: float, by: Sequence[str] = ()) -> DataFrame:
@@ -166,20 +191,37 @@ def compartments(points: DataFrame, cells: DataFrame, nuclei: DataFrame, key: st
     return marked.withColumns({"compartment": kind, "cell_distance": sign("n_cells", "_cell"), "nucleus_distance": sign("n_nuclei", "_nucleus")}).drop("_cell", "_nucleus")
 
 
+def nearest_on_outline(segs: Column, x: Column, y: Column) -> Column:
+    """(d, x, y) of the nearest point of the segments; of equal distances the first segment's."""
+
+    def spot(s: Column) -> Column:
+        dx, dy = s.bx - s.ax, s.by - s.ay
+        t = F.coalesce(F.try_divide((x - s.ax) * dx + (y - s.ay) * dy, dx * dx + dy * dy), F.lit(0.0))
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+        px, py = s.ax + t * dx, s.ay + t * dy
+        return F.struct(F.hypot(x - px, y - py).alias("d"), px.alias("x"), py.alias("y"))
+
+    first = F.transform(segs, spot)
+    return F.aggregate(first, first[0], lambda best, at: F.when(at.d < best.d, at).otherwise(best))
+
+
 def assign_objects(points: DataFrame, objects: DataFrame, key: str, order: str, reach: float = 16.0) -> DataFrame:
     """Each point's object: the containing one (edges included) whose own edge is nearest, distance negative; else the nearest edge.
 
-    Points without coordinates stay, with ``missing_coordinate`` set.
+    ``edge_x``, ``edge_y``: the nearest point of that object's edge. Points without finite coordinates stay,
+    with ``missing_coordinate`` set; without objects all others stay too, with nulls.
     """
-    ok = cut(points.where("x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)").select(key, "x", "y"))
+    ok = cut(points.where(_finite("x", "y")).select(key, "x", "y"))
     p = ok.withColumns({"_tx": tile("x", reach), "_ty": tile("y", reach)}).join(tiled(objects, reach), ["_tx", "_ty"])
     x, y, segs = F.col("x"), F.col("y"), F.col("segs")
     held = p.where(x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1"))).where(on_edge(segs, x, y) | odd_crossings(segs, x, y))
     best = held.groupBy(key).agg(F.min(F.struct(outline_distance(segs, x, y).alias("d"), F.col(order).alias("o"))).alias("_b"))
     inside = best.select(key, F.col("_b.o").alias(order), (-F.col("_b.d")).alias("distance"), F.lit(True).alias("inside"))
     near = nearest_outlines(ok.join(inside.select(key), key, "left_anti"), objects, key, order, reach).withColumn("inside", F.lit(False))
-    found = inside.unionByName(near)
-    return points.select(key, "x", "y").join(found, key, "left").select(key, order, "distance", F.coalesce("inside", F.lit(False)).alias("inside"), F.col("distance").isNull().alias("missing_coordinate"))
+    found = inside.unionByName(near).join(ok, key).join(objects.select(order, "segs"), order)
+    found = found.withColumn("_e", nearest_on_outline(segs, x, y)).select(key, order, "distance", "inside", F.col("_e.x").alias("edge_x"), F.col("_e.y").alias("edge_y"))
+    missing = ~F.coalesce(_finite("x", "y"), F.lit(False))
+    return points.select(key, "x", "y").join(found, key, "left").select(key, order, "distance", F.coalesce("inside", F.lit(False)).alias("inside"), missing.alias("missing_coordinate"), "edge_x", "edge_y")
 
 
 def overlap_assignment(points: DataFrame, shapes: DataFrame, key: str, mask: str, prior: str) -> DataFrame:

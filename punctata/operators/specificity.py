@@ -45,7 +45,8 @@ def rank_sums(values: DataFrame, classes: DataFrame, cell: str = "cell_id", labe
     zero = by_value.groupBy("gene").agg(F.sum("_k").alias("_seen")).crossJoin(F.broadcast(n_cells)).select("gene", F.lit(0).cast("long").alias("n"), (F.col("_n") - F.col("_seen")).alias("_k"))
     w = Window.partitionBy("gene").orderBy("n")
     levels = by_value.unionByName(zero).withColumn("_rank", F.sum("_k").over(w) - (F.col("_k") - 1) / 2)
-    ties = levels.groupBy("gene").agg(F.sum(F.col("_k") * F.col("_k") * F.col("_k") - F.col("_k")).cast("double").alias("_ties"))
+    k = F.col("_k").cast("double")  # a cube of a long overflows from two million cells
+    ties = levels.groupBy("gene").agg(F.sum(k * k * k - k).alias("_ties"))
     in_class = seen.groupBy(label, "gene", "n").agg(F.count("*").alias("_c"))
     nonzero = in_class.join(levels.select("gene", "n", "_rank"), ["gene", "n"]).groupBy(label, "gene").agg(F.sum(F.col("_c") * F.col("_rank")).alias("_r"), F.sum("_c").alias("_hits"))
     grid = ties.join(levels.where("n = 0").select("gene", F.col("_rank").alias("_zero")), "gene").crossJoin(F.broadcast(sizes)).crossJoin(F.broadcast(n_cells))

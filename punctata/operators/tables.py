@@ -7,11 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctata.operators.ids import first_of
+from punctata.operators.ids import first_of, ordered_ids
 
 
-def attach_metrics(cells: DataFrame, metrics: DataFrame, key: str, order: str, columns: Sequence[str]) -> DataFrame:
-    """Metrics by id, the first of repeated ids by ``order``."""
+def attach_metrics(cells: DataFrame, metrics: DataFrame, key: str, order: str, columns: Sequence[str], rows_by: str | None = None) -> DataFrame:
+    """Metrics by id, the first of repeated ids by ``order``.
+
+    With ``rows_by``, tables that share no id but have equally many rows are joined row by row: the cells in
+    the order of that column, the metrics in ``order``.
+    """
+    if rows_by is not None and cells.join(metrics, key, "left_semi").isEmpty() and cells.count() == metrics.count():
+        nth = ordered_ids(metrics.select(order, *columns), [order], "_row").drop(order)
+        return ordered_ids(cells, [rows_by], "_row").join(nth, "_row").drop("_row")
     return cells.join(first_of(metrics, [key], [order]).select(key, *columns), key, "left")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from punctata import roles
 from punctata.functions import stats
-from punctata.operators import align, cohort, counts as C, patterns, specificity as M
+from punctata.operators import align, cohort, counts as C, patterns, reports, specificity as M
 from punctata.operators import predicates as P
 from punctata.operators import spatial as S
 from punctata.roles import sql, table
@@ -84,11 +84,9 @@ def a09(spark, d):
 
 
 def a10(spark, d):
-    t = roles.transcripts(spark, d)
-    control = F.count_if(F.col("feature_type") == "PROMO")
     area = table(spark, d, "orders").select(F.col("o_orderkey").alias("cell_id"), F.expr("CAST(o_custkey % 40 AS DOUBLE)").alias("cell_area"), F.expr("CAST(o_custkey % 7 AS DOUBLE)").alias("nucleus_area"))
-    per = t.groupBy("cell_id").agg(F.count("*").alias("total_counts"), control.alias("control_counts"))
-    return per.join(area, "cell_id").select("cell_id", "control_counts", R(F.try_divide(F.col("control_counts") * 100.0, "total_counts")).alias("pct_control_counts"), R(F.try_divide("nucleus_area", F.nullif("cell_area", F.lit(0.0)))).alias("nucleus_ratio"))
+    rows = reports.control_qc(roles.transcripts(spark, d), F.col("feature_type") == "PROMO", area)
+    return rows.select("cell_id", "control_counts", R("pct_control_counts").alias("pct_control_counts"), R("nucleus_ratio").alias("nucleus_ratio"))
 
 
 def _classes(spark, d):
@@ -164,7 +162,7 @@ def _marker_classes(spark, d):
 
 
 def _platform_counts(spark, d):
-    return roles.transcripts(spark, d).where("cell_id % 11 > 0").groupBy("platform", "cell_id", "gene").agg(F.count("*").alias("n"))
+    return roles.transcripts(spark, d).groupBy("platform", "cell_id", "gene").agg(F.count("*").alias("n"))
 
 
 def _pairs(spark, d):
@@ -257,7 +255,7 @@ def a26_tails(spark, d):
 
 
 def a27(spark, d):
-    return patterns.pair_correlation(_classified(spark, d), [0.0, 2.0, 4.0, 8.0], draws=19, most=200)
+    return patterns.pair_correlation(_classified(spark, d), [0.0, 2.0, 4.0, 8.0])
 
 
 def a27_observed(spark, d):
@@ -355,11 +353,11 @@ def a37(spark, d):
 
 
 def a37_support(spark, d):
-    """Share of points beyond five median anchor gaps of the nearest anchor."""
-    anchors = roles.cells(spark, d).where("instance_id % 20 = 0 AND instance_id < 500").select(F.col("instance_id").alias("other"), F.col("cx").alias("tx"), F.col("cy").alias("ty"))
+    """Share of one section's cells beyond five median gaps of the other section's, the anchors."""
+    anchors = roles.cells(spark, d).where("instance_id % 2 = 0").groupBy(F.col("cx").alias("tx"), F.col("cy").alias("ty")).agg(F.min("instance_id").alias("other"))  # cells may share a place
     gaps = S.nearest_points(anchors.select(F.col("other").alias("id"), F.col("tx").alias("x"), F.col("ty").alias("y")), anchors, "id", "other", 1, 16.0, skip_same=True)
     radius = gaps.where("distance > 0").agg((F.median("distance") * 5).alias("radius"))
-    near = S.nearest_points(roles.cells(spark, d).select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y")), anchors, "instance_id", "other", 1, 16.0)
+    near = S.nearest_points(roles.cells(spark, d).where("instance_id % 2 = 1").select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y")), anchors, "instance_id", "other", 1, 16.0)
     return near.crossJoin(F.broadcast(radius)).agg(R(F.first("radius")).alias("radius"), R(F.avg((F.col("distance") > F.col("radius")).cast("double"))).alias("extrapolated"))
 
 
@@ -368,57 +366,40 @@ def a38(spark, d):
 
 
 def a39(spark, d):
-    t = roles.transcripts(spark, d)
-    by = {"background": ~F.col("background"), "numeric": F.col("assignment") % 2 == 0}
-    out = None
-    for name, c in by.items():
-        part = t.groupBy("platform").agg(F.count("*").alias("n"), F.count_if(F.coalesce(c, F.lit(False))).alias("n_assigned")).withColumn("method", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out.withColumn("rate", R(F.col("n_assigned") / F.col("n")))
+    methods = {"background": ~F.col("background"), "numeric": F.col("assignment") % 2 == 0}
+    return reports.assignment_rates(roles.transcripts(spark, d), methods, ["platform"]).withColumn("rate", R("rate"))
 
 
 def a40(spark, d):
-    line = table(spark, d, "supplier").select("s_nationkey", F.expr("s_acctbal + 1100e0").alias("thickness"), F.expr("s_suppkey % 4 = 0").alias("failed"))
-    m = line.agg(F.median("thickness").alias("_m"))
-    rows = line.crossJoin(F.broadcast(m))
-    odd = (F.col("thickness") < F.col("_m") * 0.5) | (F.col("thickness") > F.col("_m") * 2)
-    return rows.agg(F.count("*").alias("n"), F.count_if("failed").alias("n_failed"), R(F.first("_m")).alias("median_thickness"), (F.avg(F.col("failed").cast("double")) > 0.2).alias("warn_failed"), (F.avg(odd.cast("double")) > 0.1).alias("warn_thickness"))
+    lines = table(spark, d, "supplier").select(F.expr("s_acctbal + 1100e0").alias("thickness"), F.expr("s_suppkey % 4 = 0").alias("failed"))
+    return reports.depth_summary(lines).withColumn("median_thickness", R("median_thickness"))
 
 
 def a41(spark, d):
     rows = table(spark, d, "lineitem").select(F.expr("CASE WHEN l_shipdate IS NULL OR l_linenumber = 7 THEN 'unassigned' ELSE l_returnflag END").alias("label"), F.expr("l_quantity / 50e0").alias("p"), F.expr("l_discount * 10e0").alias("r"))
-    q = F.percentile("p", F.array(*(F.lit(x) for x in (0.1, 0.25, 0.5, 0.75, 0.9))))
-    s = rows.groupBy("label").agg(F.count("*").alias("n"), q.alias("q"), F.avg((F.col("p") < 0.7).cast("double")).alias("low"), F.avg((F.col("r") < 0.3).cast("double")).alias("low_r"))
-    return s.select("label", "n", *(R(F.col("q")[i]).alias(c) for i, c in enumerate(("q10", "q25", "q50", "q75", "q90"))), R("low").alias("low_probability_share"), R("low_r").alias("low_correlation_share"))
+    out = reports.confidence(rows, "label", "p", "r")
+    return out.select("label", "n", *(R(c).alias(c) for c in out.columns[2:]))
 
 
 def a42(spark, d):
-    """The first candidate with at most 10 values, else the one with the fewest."""
-    names = ["c_custkey", "c_nationkey", "c_mktsegment"]
-    n = table(spark, d, "customer").agg(*(F.countDistinct(c).alias(c) for c in names)).first()
-    pick = next((c for c in names if n[c] <= 10), min(names, key=lambda c: n[c]))
-    return table(spark, d, "customer").groupBy(F.col(pick).alias("value")).agg(F.count("*").alias("n"))
+    rows = table(spark, d, "customer")
+    return reports.value_counts(rows, reports.plottable_column(rows, ["c_custkey", "c_nationkey", "c_mktsegment"]))
 
 
 def a43(spark, d):
     rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.expr("c_nationkey = n_nationkey")).join(table(spark, d, "region"), F.expr("n_regionkey = r_regionkey"))
-    wanted = rows.where(F.col("r_name").isin("ASIA", "EUROPE"))
-    leaf = wanted.groupBy("n_name", "c_mktsegment").agg(F.count("*").alias("n_cells")).withColumn("kept", F.col("n_cells") >= 3)
-    return leaf
+    return reports.region_leaves(rows, "r_name", ["ASIA", "EUROPE"], ["n_name", "c_mktsegment"], 3)
 
 
 def a44(spark, d):
-    rows = table(spark, d, "part").withColumn("term", F.expr("regexp_extract(p_brand, '#([0-9])', 1)"))
-    return rows.groupBy("p_type").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("term")), ";").alias("terms"), F.count_if(F.concat_ws(" ", "p_name", "p_brand").rlike("ring|#2")).alias("n_found"))
+    return reports.metadata_groups(table(spark, d, "part"), "p_type", F.expr("regexp_extract(p_brand, '#([0-9])', 1)"), ["p_name", "p_brand"], "ring|#2")
 
 
 _SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 def a45(spark, d):
-    wide = table(spark, d, "customer").groupBy("c_nationkey").pivot("c_mktsegment", list(_SEGMENTS)).agg(F.count(F.lit(1))).na.fill(0)
-    total = sum((F.col(s) for s in _SEGMENTS[1:]), F.col(_SEGMENTS[0]))
-    return wide.select("c_nationkey", *(F.col(s).alias(s.lower()) for s in _SEGMENTS), total.alias("total"))
+    return reports.count_pivot(table(spark, d, "customer"), "c_nationkey", "c_mktsegment", _SEGMENTS)
 
 
 def _cpm(spark, d):
@@ -438,15 +419,12 @@ def a47(spark, d):
 
 def a48(spark, d):
     rows = table(spark, d, "part").select(F.col("p_retailprice").alias("v"), F.col("p_size").cast("double").alias("w"))
-    q = rows.agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"))
-    b = F.when(F.col("v") <= F.col("q")[0], 0).when(F.col("v") <= F.col("q")[1], 1).when(F.col("v") <= F.col("q")[2], 2).otherwise(3)
-    return rows.crossJoin(F.broadcast(q)).withColumn("bin", b.cast("long")).groupBy("bin").agg(F.count("*").alias("n"), R(F.corr("v", "w")).alias("r"), R(F.stddev_samp("w")).alias("sd"))
+    return reports.quantile_bins(rows, "v", "w").select("bin", "n", R("r").alias("r"), R("sd").alias("sd"))
 
 
 def a49(spark, d):
-    per = roles.transcripts(spark, d).join(roles.cell_class(spark, d), "cell_id").groupBy("pair_id", "platform").agg(F.avg("qv").alias("m"))
-    diff = per.groupBy("pair_id").agg((F.max(F.when(F.col("platform") == "XENIUM", F.col("m"))) - F.max(F.when(F.col("platform") == "MERSCOPE", F.col("m")))).alias("d"))
-    return diff.agg(F.count("d").alias("n"), R(F.avg("d")).alias("mean_difference"), R(F.avg("d") / (F.stddev_samp("d") / F.sqrt(F.count("d"))), 4).alias("t"))
+    rows = roles.transcripts(spark, d).join(roles.cell_class(spark, d), "cell_id")
+    return reports.paired_t(rows, "pair_id", "platform", "qv", "MERSCOPE", "XENIUM").select("n", R("mean_difference").alias("mean_difference"), R("t", 4).alias("t"))
 
 
 def a50(spark, d):
@@ -531,7 +509,7 @@ _SCORES = f"""{_ZSQL}, mk AS (SELECT r_name AS label, {_MARKER_TEXT.format(s='VA
     sc AS (SELECT grp, label, avg(z) AS score, count(*) AS n_markers, string_agg(gene, ';' ORDER BY gene) AS resolved_markers FROM zs JOIN mk USING (gene) GROUP BY ALL HAVING count(*) >= 3)"""
 _FRACTIONS = """sz AS (SELECT broad_class, count(*) AS nt FROM cell_class GROUP BY 1), h AS (SELECT broad_class, gene, count(DISTINCT cell_id) AS k FROM counts JOIN cell_class USING (cell_id) GROUP BY ALL), ga AS (SELECT gene, sum(k) AS a FROM h GROUP BY 1), nn AS (SELECT sum(nt) AS n FROM sz),
     fr AS (SELECT sz.broad_class, ga.gene, coalesce(k, 0) / nt AS tf, (a - coalesce(k, 0)) / (n - nt) AS f2, nt, CAST(n - nt AS BIGINT) AS no FROM sz CROSS JOIN ga CROSS JOIN nn LEFT JOIN h ON h.broad_class = sz.broad_class AND h.gene = ga.gene)"""
-_PAIRS = """pc AS (SELECT platform, cell_id, gene, count(*) AS n FROM transcripts WHERE cell_id % 11 > 0 GROUP BY ALL), mk AS (SELECT DISTINCT p_brand AS gene, 'c' || right(p_brand, 1) AS cls FROM part WHERE p_brand <> 'Brand#7'),
+_PAIRS = """pc AS (SELECT platform, cell_id, gene, count(*) AS n FROM transcripts GROUP BY ALL), mk AS (SELECT DISTINCT p_brand AS gene, 'c' || right(p_brand, 1) AS cls FROM part WHERE p_brand <> 'Brand#7'),
     h AS (SELECT platform, cell_id, gene, cls FROM pc JOIN mk USING (gene)), dt AS (SELECT platform, gene, cls, count(*) AS d FROM h GROUP BY ALL),
     bo AS (SELECT a.platform, a.gene AS g1, b.gene AS g2, count(*) AS k FROM h a JOIN h b ON a.platform = b.platform AND a.cell_id = b.cell_id AND a.gene < b.gene AND a.cls <> b.cls GROUP BY ALL),
     pr AS (SELECT a.platform, a.gene AS gene_1, a.cls AS class_1, a.d AS cells_gene_1, b.gene AS gene_2, b.cls AS class_2, b.d AS cells_gene_2, coalesce(k, 0) AS cells_both, a.d + b.d - coalesce(k, 0) AS cells_either, coalesce(k, 0) / (a.d + b.d - coalesce(k, 0)) AS mecr
@@ -619,8 +597,8 @@ ORACLES = {
     "a35_candidate_score": "SELECT s_suppkey, round(CASE WHEN s_suppkey % 5 > 0 THEN s_acctbal / 10000e0 ELSE 0e0 END + s_nationkey / 25e0 + 0.1e0 * (s_suppkey / 100e0) - 0.001e0 * s_acctbal, 9) AS score FROM supplier ORDER BY score DESC, s_suppkey LIMIT 1",
     "a36_affine_sums": sql("cells", f"{_MATCH} SELECT count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy, sum(y * y) AS syy, sum(u) AS su, sum(v) AS sv, sum(x * u) AS sxu, sum(y * u) AS syu, sum(x * v) AS sxv, sum(y * v) AS syv FROM ma"),
     "a37_displacement": sql("cells", f"{_MATCH} SELECT round(min(d), 6) AS min, round(quantile_cont(d, 0.5), 6) AS p50, round(quantile_cont(d, 0.95), 6) AS p95, round(max(d), 6) AS max FROM (SELECT sqrt((u - x) * (u - x) + (v - y) * (v - y)) AS d FROM ma)"),
-    "a37_support": sql("cells", """an AS (SELECT instance_id AS id, cx, cy FROM cells WHERE instance_id % 20 = 0 AND instance_id < 500), gp AS (SELECT min(sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS d FROM an a JOIN an b ON a.id <> b.id GROUP BY a.id), ra AS (SELECT median(d) * 5 AS r FROM gp WHERE d > 0),
-        nr AS (SELECT min(sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS d FROM cells a, an b GROUP BY a.instance_id) SELECT round(any_value(r), 6) AS radius, round(avg(CASE WHEN d > r THEN 1e0 ELSE 0e0 END), 6) AS extrapolated FROM nr, ra"""),
+    "a37_support": sql("cells", """an AS (SELECT min(instance_id) AS id, cx, cy FROM cells WHERE instance_id % 2 = 0 GROUP BY cx, cy), gp AS (SELECT min(sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS d FROM an a JOIN an b ON a.id <> b.id GROUP BY a.id), ra AS (SELECT median(d) * 5 AS r FROM gp WHERE d > 0),
+        nr AS (SELECT min(sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) AS d FROM cells a, an b WHERE a.instance_id % 2 = 1 GROUP BY a.instance_id) SELECT round(any_value(r), 6) AS radius, round(avg(CASE WHEN d > r THEN 1e0 ELSE 0e0 END), 6) AS extrapolated FROM nr, ra"""),
     "a38_density": sql("transcripts", "SELECT CAST(least(floor(x / 40e0), 11) AS BIGINT) AS bx, CAST(least(floor((y - 20) / (480e0 / 9)), 8) AS BIGINT) AS by, count(*) AS n FROM transcripts WHERE x BETWEEN 0 AND 480 AND y BETWEEN 20 AND 500 GROUP BY ALL"),
     "a39_assignment_rate": sql("transcripts", "r AS (SELECT platform, 'background' AS method, count(*) AS n, count(*) FILTER (NOT background) AS n_assigned FROM transcripts GROUP BY 1 UNION ALL SELECT platform, 'numeric', count(*), count(*) FILTER (assignment % 2 = 0) FROM transcripts GROUP BY 1) SELECT *, round(n_assigned / n, 6) AS rate FROM r"),
     "a40_depth_summary": """WITH l AS (SELECT s_acctbal + 1100e0 AS t, s_suppkey % 4 = 0 AS f FROM supplier), m AS (SELECT median(t) AS m FROM l) SELECT count(*) AS n, count(*) FILTER (f) AS n_failed, round(any_value(m), 6) AS median_thickness, avg(CASE WHEN f THEN 1e0 ELSE 0e0 END) > 0.2e0 AS warn_failed, avg(CASE WHEN t < m * 0.5e0 OR t > m * 2 THEN 1e0 ELSE 0e0 END) > 0.1e0 AS warn_thickness FROM l, m""",

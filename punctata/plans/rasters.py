@@ -9,6 +9,7 @@ from punctata import roles
 from punctata.operators import graphs as G
 from punctata.operators import ids
 from punctata.operators import rasters as I
+from punctata.operators import reports
 from punctata.operators import spatial as S
 from punctata.roles import sql, table
 
@@ -62,7 +63,7 @@ def r06(spark, d):
 
 def r07(spark, d):
     """Boxes as objects of two overlapping tiles, de-duplicated."""
-    boxes = roles.cells(spark, d).where("cx < 200 AND cy < 200").select("instance_id", "cx", "cy", F.ceil("half").alias("h"), F.explode(F.array(F.lit(0), F.lit(1))).alias("tile"))
+    boxes = roles.cells(spark, d).select("instance_id", "cx", "cy", F.ceil("half").alias("h"), F.explode(F.array(F.lit(0), F.lit(1))).alias("tile"))
     rows = boxes.withColumn("row", F.explode(F.sequence(F.expr("CAST(cy AS BIGINT) - h + tile"), F.expr("CAST(cy AS BIGINT) + h")))).withColumn("col", F.explode(F.sequence(F.expr("CAST(cx AS BIGINT) - h"), F.expr("CAST(cx AS BIGINT) + h"))))
     return I.stitch(rows.select("tile", F.col("instance_id").alias("label"), "row", "col", F.lit(True).alias("in_core")))
 
@@ -81,7 +82,7 @@ def r09(spark, d):
 
 def r10(spark, d):
     rows = _pixels(spark, d).select((F.col("col") % 20).alias("column_id"), "value")
-    return rows.groupBy("column_id").agg(F.count("*").alias("n_pixels"), (F.count("*") * 0.25).alias("area"), F.min("value").alias("min_phi"), F.max("value").alias("max_phi"))
+    return reports.depth_columns(rows, "column_id", "value", 0.25)
 
 
 def _vectors(spark, d):
@@ -132,7 +133,7 @@ def x04(spark, d):
 
 
 def x05(spark, d):
-    edges = table(spark, d, "lineitem").where("l_quantity > 48").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 1_000_000_000).alias("dst"))
+    edges = table(spark, d, "lineitem").select(F.col("l_partkey").alias("src"), (F.col("l_suppkey") + 1_000_000_000).alias("dst"))
     return G.connected(edges)
 
 
@@ -159,6 +160,8 @@ _RAG = "rg AS (SELECT row, col, CASE WHEN (row % 10) * 7 + col % 8 < 10 + label
 _STAT = lambda c: ", ".join(f"round(max({e}) FILTER (channel = {c}), 6) AS image__ch{c}__{n}" for e, n in (("a", "min"), ("b", "median"), ("m", "mean"), ("z", "max"), ("q", "iqr")))
 
 ORACLES = {
+    "x05_components": """WITH RECURSIVE e AS (SELECT DISTINCT l_partkey AS s, l_suppkey + 1000000000 AS t FROM lineitem), g AS (SELECT s, t FROM e UNION ALL SELECT t, s FROM e), r AS (SELECT s AS node, s AS c FROM g UNION SELECT t, t FROM g UNION SELECT g.t, r.c FROM r JOIN g ON g.s = r.node WHERE r.c < g.t)
+        SELECT node, min(c) AS component FROM r GROUP BY 1""",
     "r01_label_areas": sql("mask", f"{_RAG} SELECT label, count(*) * 0.25e0 AS area FROM rg WHERE label > 0 GROUP BY 1"),
     "r01_area_filter": sql("mask", f"{_RAG}, k AS (SELECT label, row_number() OVER (ORDER BY label) AS nl FROM rg WHERE label > 0 GROUP BY 1 HAVING count(*) BETWEEN 15 AND 60) SELECT coalesce(nl, 0) AS label, count(*) AS n, min(row) AS row FROM rg LEFT JOIN k USING (label) GROUP BY 1"),
     "r02_shape_filter": sql("mask", f"""{_RAG}, m AS (SELECT label, count(*) AS area, var_pop(row) + 1 / 12e0 AS a, var_pop(col) + 1 / 12e0 AS b, covar_pop(row, col) AS k FROM rg WHERE label > 0 GROUP BY 1), e AS (SELECT label, area, sqrt(greatest(0e0, 1 - ((a + b) / 2 - sqrt((a - b) * (a - b) / 4 + k * k)) / ((a + b) / 2 + sqrt((a - b) * (a - b) / 4 + k * k)))) AS ec FROM m)

@@ -124,7 +124,7 @@ def j23(spark, d):
 
 
 def j26(spark, d):
-    points = roles.numbered_transcripts(spark, d).where("gene = 'Brand#1' OR gene = 'Brand#12'")
+    points = roles.numbered_transcripts(spark, d)
     return S.annular_counts(points, "transcript_id", [0.0, 1.0, 2.0, 4.0], ["gene"]).withColumn("band", F.col("band").cast("long"))
 
 
@@ -216,7 +216,7 @@ ORACLES = {
         r AS (SELECT instance_id, min_by(w, piece_no) AS w, min(piece_no) AS piece_no FROM cells LEFT JOIN o ON abs(cx - ox) <= h AND abs(cy - oy) <= h GROUP BY 1) SELECT instance_id, CASE WHEN w THEN piece_no END AS piece_no, coalesce(NOT w, false) AS flag_only FROM r"""),
     "j23_spatial_knn": sql("cells", """r AS (SELECT a.instance_id, b.instance_id AS other, sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy)) AS d, row_number() OVER (PARTITION BY a.instance_id ORDER BY (a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy), b.instance_id) AS nth
         FROM cells a JOIN cells b ON a.instance_id <> b.instance_id) SELECT instance_id, other, round(d, 6) AS distance, nth FROM r WHERE nth <= 6"""),
-    "j26_annular_pairs": sql("numbered", """p AS (SELECT transcript_id AS id, gene, x, y FROM numbered WHERE gene IN ('Brand#1', 'Brand#12')), q AS (SELECT a.gene, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM p a JOIN p b ON a.gene = b.gene AND a.id < b.id AND abs(a.x - b.x) <= 4 AND abs(a.y - b.y) <= 4)
+    "j26_annular_pairs": sql("numbered", """p AS (SELECT transcript_id AS id, gene, x, y FROM numbered), q AS (SELECT a.gene, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d FROM p a JOIN p b ON a.gene = b.gene AND a.id < b.id AND abs(a.x - b.x) <= 4 AND abs(a.y - b.y) <= 4)
         SELECT gene, CASE WHEN d <= 1 THEN 0 WHEN d <= 2 THEN 1 ELSE 2 END AS band, count(*) AS n FROM q WHERE d <= 4 GROUP BY ALL"""),
     "j27_two_way_nearest": sql("cells", f"""{_KNN_A}, m AS (SELECT instance_id, other, sqrt((x - tx) * (x - tx) + (y - ty) * (y - ty)) AS d FROM a, b), e AS (SELECT 'there' AS way, min(d) AS d FROM m GROUP BY instance_id UNION ALL SELECT 'back', min(d) FROM m GROUP BY other)
         SELECT way, round(avg(d), 6) AS mean, round(quantile_cont(d, 0.5), 6) AS p50, round(quantile_cont(d, 0.9), 6) AS p90, round(quantile_cont(d, 0.99), 6) AS p99 FROM e GROUP BY way"""),

@@ -38,6 +38,38 @@ def shingle_hashes(raw: bytes, width: int = 3, seed: int = 42) -> np.ndarray:
     return np.array([h(view[a:z], seed) for a, z in zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())], np.uint64)
 
 
+class _Words(dict):
+    """XXH64 of words; short ones are kept for the next text, at most ``most`` of them."""
+
+    most = 200_000
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh64_intdigest(word, 42)
+        if len(word) <= 32:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = h
+        return h
+
+
+_WORDS = _Words()
+
+
+def shingle_set(raw: bytes, width: int) -> np.ndarray:
+    """The different shingles of a whole text as hashes, ascending: chained hashes of words, which are quicker than of bytes."""
+    words = raw.lower().split()
+    w = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    k = min(width, len(w))
+    out = np.full(len(w) - k + 1 if k else 0, k, np.uint64)
+    for i in range(k):
+        out = (out ^ w[i : i + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    out.sort()
+    fresh = np.ones(len(out), bool)
+    fresh[1:] = out[1:] != out[:-1]
+    return out[fresh]
+
+
 def majority(hashes: np.ndarray) -> int:
     """A bit is 1 if it is set in over half of the hashes; without any the fingerprint is 0."""
     if not len(hashes):
@@ -58,7 +90,9 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
 
     def taken(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(frames):
-            fps = np.array([fingerprint(x, width) for x in utf8(b.column("text"))], np.uint64).view(np.int64)
+            ths = b.column("th").to_pylist()
+            known = {t: fingerprint(x, width) for t, x in dict(zip(ths, utf8(b.column("text")), strict=True)).items()}
+            fps = np.array([known[t] for t in ths], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fps)], ["doc_id", "th", "fp"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(taken, "doc_id long, th long, fp long")
@@ -154,8 +188,8 @@ def _links(frames: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBat
         yield from of(*held)
 
 
-def near_fingerprints(fps: DataFrame, bits: int = 2, segments: int = 16) -> DataFrame:
-    """(fp, component) of the distinct fingerprints ``fps(fp)`` that have a link within ``bits`` <= 2 bits."""
+def near_links(fps: DataFrame, bits: int = 2, segments: int = 16) -> DataFrame:
+    """(a, b): links that span the components of the distinct fingerprints ``fps(fp)`` within ``bits`` <= 2 bits."""
     if bits > 2:
         raise ValueError("cells one step away meet only within two steps")
 
@@ -166,8 +200,12 @@ def near_fingerprints(fps: DataFrame, bits: int = 2, segments: int = 16) -> Data
             yield pa.RecordBatch.from_arrays([pa.array(c.ravel()), pa.array(np.repeat(fp, c.shape[1]))], ["cell", "fp"])
 
     grid = fps.mapInArrow(dealt, "cell long, fp long").repartition("cell").sortWithinPartitions("cell")
-    edges = grid.mapInArrow(lambda frames: _links(frames, bits), "a long, b long")
-    return components(edges)
+    return grid.mapInArrow(lambda frames: _links(frames, bits), "a long, b long")
+
+
+def near_fingerprints(fps: DataFrame, bits: int = 2, segments: int = 16) -> DataFrame:
+    """(node, component) of the distinct fingerprints ``fps(fp)`` that have a link within ``bits`` <= 2 bits."""
+    return components(near_links(fps, bits, segments))
 
 
 def _once(b: pa.RecordBatch, seen: set) -> pa.RecordBatch:
@@ -187,7 +225,7 @@ def _common(texts: DataFrame, width: int, sample: int = 20_000, most: int = 1_00
     def taken(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(frames):
             th = b.column("th").to_pylist()
-            hs = [np.unique(shingle_hashes(x, width)) for x in utf8(b.column("text"))]
+            hs = [shingle_set(x, width) for x in utf8(b.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.repeat(np.array(th, np.int64), [len(h) for h in hs]))], ["h", "th"])
 
     few = few.dropDuplicates(["th"])
@@ -210,14 +248,29 @@ def _able(i: np.ndarray, j: np.ndarray, n: np.ndarray, at: np.ndarray, similarit
     return (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-6) & (np.minimum(n[i] - at[i], n[j] - at[j]) >= need)
 
 
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two ascending sets share."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def _distinct(rows: np.ndarray) -> np.ndarray:
+    """The different rows of a matrix, sorted."""
+    rows = rows[np.lexsort(rows.T[::-1])]
+    fresh = np.ones(len(rows), bool)
+    fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+    return rows[fresh]
+
+
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
+    return _distinct(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
 
 
-def similar_texts(docs: DataFrame, width: int, similarity: float, before: int = 16, block: int = 1024) -> DataFrame:
+def similar_texts(docs: DataFrame, width: int, similarity: float, before: int = 16, block: int = 1024, known: DataFrame | None = None) -> DataFrame:
     """(a, b): links between text hashes whose sets of ``width``-word shingles have a Jaccard similarity of ``similarity``.
 
-    The links span all components of such pairs. In an order of all shingles, frequent ones last, two similar
+    The links span all components of such pairs and of the links ``known(a, b)``. In an order of all shingles, frequent ones last, two similar
     texts of n shingles share one of their first n - ceil(similarity n) + 1 each: these are a text's keys. Three
     passes follow, each over pairs whose components the passes before left apart:
 
@@ -240,7 +293,7 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
             b = _once(b, seen)
             cols: list[list] = [[], [], [], [], []]
             for t, raw in zip(b.column("th").to_pylist(), utf8(b.column("text")), strict=True):
-                h = np.unique(shingle_hashes(raw, width))
+                h = shingle_set(raw, width)
                 n = len(h)
                 if n:
                     often = np.zeros(n, np.int64)
@@ -288,7 +341,7 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
             i = idx[old:][off[old:] > 1]
             keep = _able(i, head[i], n, at, similarity)
             found.append(np.column_stack([th[head[i]], th[i], np.ones(len(i), np.int64)])[keep])
-            pairs = np.unique(np.concatenate(found), axis=0)
+            pairs = _distinct(np.concatenate(found))
             full = idx[old:][off[old:] == before + 1]
             rows = np.concatenate([(full[:, None] - np.arange(before + 2)).ravel(), idx[old:][off[old:] > before + 1]])
             p, r = len(pairs), len(rows)
@@ -317,7 +370,7 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
     def buckets(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for b in frames:
-            sizes = [np.bincount((np.unique(shingle_hashes(unpack.decompress(x), width)) & np.uint64(255)).astype(np.int64), minlength=256) for x in b.column("z").to_pylist()]
+            sizes = [np.bincount((shingle_set(unpack.decompress(x), width) & np.uint64(255)).astype(np.int64), minlength=256) for x in b.column("z").to_pylist()]
             small = [(s if s.max() < 255 else np.full(256, 255)).astype(np.uint8).tobytes() for s in sizes]
             yield pa.RecordBatch.from_arrays([b.column("th"), pa.array(small, pa.binary())], ["th", "sizes"])
 
@@ -370,19 +423,24 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
             keep = []
             for t, za, zb in zip(b.column("a").to_pylist(), b.column("za").to_pylist(), b.column("zb").to_pylist(), strict=True):
                 if t != last:  # rows come sorted by a
-                    last, x = t, np.unique(shingle_hashes(unpack.decompress(za), width))
-                y = np.unique(shingle_hashes(unpack.decompress(zb), width))
+                    last, x = t, shingle_set(unpack.decompress(za), width)
+                y = shingle_set(unpack.decompress(zb), width)
                 small, big = sorted((len(x), len(y)))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if small >= similarity * big else 0
+                both = _shared(x, y) if small >= similarity * big else 0
                 keep.append(both >= similarity * (small + big - both))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    def whole(wanted: DataFrame) -> DataFrame:
-        """(th, z) of the texts ``wanted(th)``, one row each."""
-        return texts.mapInArrow(packed, "th long, z binary").join(wanted, "th", "left_semi").groupBy("th").agg(F.first("z").alias("z"))
+    def whole(wanted: DataFrame, most: int = 500_000) -> DataFrame:
+        """(th, z) of the texts ``wanted(th)``, one row each; up to ``most`` hashes are sent to the scan, more are joined."""
+        wanted = stored(wanted.distinct(), "wanted")
+        if wanted.count() <= most:
+            found = texts.join(F.broadcast(wanted), "th", "left_semi").mapInArrow(packed, "th long, z binary")
+        else:
+            found = texts.mapInArrow(packed, "th long, z binary").join(wanted, "th", "left_semi")
+        return found.groupBy("th").agg(F.first("z").alias("z"))
 
     def linked(pairs: DataFrame) -> DataFrame:
-        known = whole(pairs.select(F.col("a").alias("th")).union(pairs.select("b")).distinct())
+        known = whole(pairs.select(F.col("a").alias("th")).union(pairs.select("b")))
         both = pairs.join(known.select(F.col("th").alias("b"), F.col("z").alias("zb")), "b").join(known.select(F.col("th").alias("a"), F.col("z").alias("za")), "a")
         return stored(both.select("a", "b", "za", "zb").mapInArrow(verified, "a long, b long"), "links")
 
@@ -396,27 +454,31 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
     found = stored(grid.mapInArrow(windows, "key long, a long, b long, n int, at int"), "windows")
     pairs = stored(found.where("key IS NULL").groupBy("a", "b").agg(F.min("n").alias("turn")), "candidates")
     links = linked(pairs.where("turn = 1").select("a", "b"))
-    part = components(links).withColumnRenamed("node", "th")
+    part = components(links if known is None else links.union(known)).withColumnRenamed("node", "th")
     second = stored(apart(pairs.where("turn = 2").select("a", "b"), part), "candidates")
     if not second.isEmpty():
-        links = links.union(linked(second))
-        part = components(links).withColumnRenamed("node", "th")
+        part = components(_star(part).union(linked(second))).withColumnRenamed("node", "th")
     large = found.where("key IS NOT NULL").select("key", F.col("a").alias("th"), "n", "at")
     large = stored(large.join(part, "th", "left").withColumn("component", F.coalesce("component", "th")), "large")
     mixed = large.groupBy("key").agg(F.count("*").alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = stored(large.join(mixed.select("key", F.ceil(F.col("m") / block).alias("blocks")), "key"), "open")
     discard(found, pairs, second, large)
     if open_.isEmpty():
-        return links
-    sizes = whole(open_.select("th").distinct()).mapInArrow(buckets, "th long, sizes binary")
+        return _star(part)
+    sizes = whole(open_.select("th")).mapInArrow(buckets, "th long, sizes binary")
     own = open_.join(sizes, "th").withColumn("own", F.pmod(F.xxhash64("th"), "blocks")).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     ready = own.select("key", F.least("own", "o").alias("x"), F.greatest("own", "o").alias("y"), "own", "th", "n", "at", "component", "sizes").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
     third = stored(ready.mapInArrow(crossed, "a long, b long").distinct(), "candidates")
-    links = links.union(linked(third))
+    links = _star(part).union(linked(third))
     discard(open_, third)
     return links
 
 
+def _star(part: DataFrame) -> DataFrame:
+    """The components (th, component) as links."""
+    return part.select(F.col("th").alias("a"), F.col("component").alias("b")).where("a <> b")
+
+
 def _named(docs: DataFrame, width: int, bits: int, similarity: float | None = None) -> DataFrame:
     """(fp, doc_id, th, component_id) of every row.
 
@@ -424,16 +486,18 @@ def _named(docs: DataFrame, width: int, bits: int, similarity: float | None = No
     partial aggregation. With ``similarity`` links between texts are joined to those.
     """
     rows = stored(fingerprints(docs, width), "fingerprints")
-    key = "fp"
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = near_fingerprints(least.select("fp"), bits)
-    if similarity is not None:
+    if similarity is None:
+        key, least = "fp", rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+        linked = near_fingerprints(least.select("fp"), bits)
+    else:
         key = "th"
         texts = rows.groupBy("th").agg(F.first("fp").alias("fp"), F.min("doc_id").alias("least"))
-        of = texts.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        hub = of.groupBy("component").agg(F.min("th").alias("hub"))
-        edges = of.join(hub, "component").select(F.col("th").alias("a"), F.col("hub").alias("b")).where("a <> b")
-        linked = components(edges.union(similar_texts(docs, width, similarity)))
+        hub = stored(texts.groupBy("fp").agg(F.min("th").alias("hub")), "hubs")
+        known = texts.join(hub, "fp").select(F.col("th").alias("a"), F.col("hub").alias("b")).where("a <> b")
+        near = near_links(hub.select("fp"), bits)
+        for side in ("a", "b"):
+            near = near.join(hub.select(F.col("fp").alias(side), F.col("hub").alias(f"{side}_hub")), side)
+        linked = components(similar_texts(docs, width, similarity, known=stored(known.union(near.select("a_hub", "b_hub")), "links")))
         least = texts.select("th", "least")
     nodes = least.join(linked.withColumnRenamed("node", key), key, "left").withColumn("component", F.coalesce("component", key))
     first = nodes.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -6,6 +6,7 @@ a range condition alone would plan as a nested loop. A point has one tile, so no
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,17 +66,43 @@ def tiled(shapes: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
     return shapes.withColumn("_tx", F.explode(span("x0", "x1"))).withColumn("_ty", F.explode(span("y0", "y1")))
 
 
-def in_shapes(points: DataFrame, shapes: DataFrame, size: float = 8.0, edges: bool = False) -> DataFrame:
+def clipped(shapes: DataFrame, size: float) -> DataFrame:
+    """Shapes dealt to the tiles that they reach; a tile has only the segments that decide about its points.
+
+    These lie in the tile's row and don't end left of it: a point can touch them or cross them on its way to the
+    right. Segments are dealt to rows first, then along each row, so a large ring costs its vertices for each row
+    and not for each tile. Where no segment comes into a tile, all its points fare as its centre: such tiles are
+    left out or marked ``_whole``, without segments.
+    """
+    low, high = lambda a, b: tile(F.least(a, b), size), lambda a, b: tile(F.greatest(a, b), size)
+    tx, ty, segs = F.col("_tx"), F.col("_ty"), F.col("segs")
+    rows = shapes.withColumn("_ty", F.explode(F.sequence(tile("y0", size), tile("y1", size))))
+    rows = rows.withColumn("segs", F.filter(segs, lambda s: (low(s.ay, s.by) <= ty) & (high(s.ay, s.by) >= ty)))
+    tiles = rows.withColumn("_tx", F.explode(F.sequence(tile("x0", size), tile("x1", size))))
+    tiles = tiles.withColumn("segs", F.filter(segs, lambda s: high(s.ax, s.bx) >= tx))
+    edge = F.exists(segs, lambda s: low(s.ax, s.bx) <= tx)
+    tiles = tiles.withColumn("_whole", F.when(~edge, odd_crossings(segs, (tx + 0.5) * size, (ty + 0.5) * size)))
+    return tiles.where("_whole IS NULL OR _whole").withColumn("segs", F.when(F.col("_whole").isNull(), segs))
+
+
+def tile_size(shapes: DataFrame) -> float:
+    """A power of two of about half the mean side of the shapes' boxes."""
+    side = shapes.agg(F.avg(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
+    return 2.0 ** math.floor(math.log2(side / 2)) if side and 0 < side < float("inf") else 1.0
+
+
+def in_shapes(points: DataFrame, shapes: DataFrame, size: float | None = None, edges: bool = False) -> DataFrame:
     """Points joined to every shape (with its outline) that holds them; ``edges`` says whether its edge counts."""
+    size = size or tile_size(shapes)
     p = points.withColumns({"_tx": tile("x", size), "_ty": tile("y", size)})
-    joined = p.join(tiled(shapes, size), ["_tx", "_ty"])
-    x, y = F.col("x"), F.col("y")
+    joined = p.join(clipped(shapes, size), ["_tx", "_ty"])
+    x, y, segs = F.col("x"), F.col("y"), F.col("segs")
     box = x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1"))
-    touch, inside = on_edge(F.col("segs"), x, y), odd_crossings(F.col("segs"), x, y)
-    return joined.where(box).where(touch | inside if edges else inside & ~touch).drop("_tx", "_ty", "segs", "x0", "y0", "x1", "y1")
+    touch, inside = on_edge(segs, x, y), odd_crossings(segs, x, y)
+    return joined.where(F.coalesce("_whole", box)).where(F.coalesce("_whole", touch | inside if edges else inside & ~touch)).drop("_tx", "_ty", "_whole", "segs", "x0", "y0", "x1", "y1")
 
 
-def count_covering(points: DataFrame, shapes: DataFrame, key: str, name: str, size: float = 8.0) -> DataFrame:
+def count_covering(points: DataFrame, shapes: DataFrame, key: str, name: str, size: float | None = None) -> DataFrame:
     """``points`` with the number of shapes that cover them, edges included, capped at 255."""
     n = in_shapes(points.select(key, "x", "y"), shapes, size, edges=True).groupBy(key).agg(F.least(F.count("*"), F.lit(255)).alias(name))
     return points.join(n, key, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
@@ -236,5 +263,5 @@ def overlap_assignment(points: DataFrame, shapes: DataFrame, key: str, mask: str
 
 def priority_labels(points: DataFrame, regions: DataFrame, key: str, rank: str = "rank", label: str = "label", default: str = "outside_brain") -> DataFrame:
     """The label of the highest rank among the regions that strictly contain a point."""
-    top = in_shapes(points.select(key, "x", "y"), regions, 16.0).groupBy(key).agg(F.max_by(label, rank).alias("tissue"))
+    top = in_shapes(points.select(key, "x", "y"), regions).groupBy(key).agg(F.max_by(label, rank).alias("tissue"))
     return points.join(top, key, "left").withColumn("tissue", F.coalesce("tissue", F.lit(default)))

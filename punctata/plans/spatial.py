@@ -113,7 +113,7 @@ def j12(spark, d):
 
     pieces = boxes(spark, d, "objects").withColumn("piece_no", F.regexp_extract("object_id", "([0-9]+)$", 1).cast("long")).withColumn("half_white", F.col("object_type") != "ASIA")
     points = roles.cells(spark, d).select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y"))
-    hit = first_of(S.in_shapes(points, pieces, 16.0, edges=True), ["instance_id"], ["piece_no"])
+    hit = first_of(S.in_shapes(points, pieces, edges=True), ["instance_id"], ["piece_no"])
     return points.join(hit.select("instance_id", "piece_no", "half_white"), "instance_id", "left").select("instance_id", F.when(F.col("half_white"), F.col("piece_no")).alias("piece_no"), F.coalesce(~F.col("half_white"), F.lit(False)).alias("flag_only"))
 
 

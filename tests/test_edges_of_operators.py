@@ -95,3 +95,32 @@ def test_metrics_by_row_order_and_medians(spark):
     per = spark.createDataFrame([(1, 2, 1, 4.0, 0.5), (2, 4, 3, 8.0, 0.7)], "cell long, n_transcripts long, n_genes long, area double, eccentricity double")
     row = counts.dataset_summary(spark.range(5).withColumn("ok", F.col("id") > 0), F.col("ok"), per).first()
     assert (row.median_area, row.median_eccentricity) == (6.0, pytest.approx(0.6))
+
+
+def test_points_in_a_large_ring_by_brute_force(spark):
+    """A star-shaped ring over many tiles, with small tiles: whole tiles, edge tiles and points on the edge."""
+    import random
+
+    r = random.Random(8)
+    turn = [2 * math.pi * i / 60 for i in range(60)]
+    ring = [(round(50 + (40 if i % 2 else 17 + r.random()) * math.cos(t), 2), round(50 + (40 if i % 2 else 17) * math.sin(t), 2)) for i, t in enumerate(turn)]
+    ring.append(ring[0])
+    square = [(20.0, 20.0), (24.0, 20.0), (24.0, 24.0), (20.0, 24.0), (20.0, 20.0)]
+    rings = spark.createDataFrame([(1, ring), (2, square)], "shape int, ring array<struct<x: double, y: double>>")
+    points = [(i, r.uniform(0, 100), r.uniform(0, 100)) for i in range(3000)] + [(3000 + i, x, y) for i, (x, y) in enumerate([*ring, *square, (20.0, 22.0), (22.0, 24.0)])]
+
+    def state(ring, x, y):
+        odd = False
+        for (ax, ay), (bx, by) in zip(ring, ring[1:]):
+            if (bx - ax) * (y - ay) == (by - ay) * (x - ax) and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+                return "edge"
+            if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                odd = not odd
+        return "in" if odd else "out"
+
+    rows = spark.createDataFrame(points, "point int, x double, y double")
+    for size in (1.0, 2.5, 64.0, None):
+        for edges in (False, True):
+            got = {(x.point, x.shape) for x in S.in_shapes(rows, S.with_outline(rings, "ring"), size, edges).collect()}
+            want = {(i, s) for s, g in ((1, ring), (2, square)) for i, x, y in points if state(g, x, y) in (("in", "edge") if edges else ("in",))}
+            assert got == want

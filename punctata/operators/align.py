@@ -55,7 +55,7 @@ def mean_nearest(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row, ``centroid_assd``: mean of the two mean nearest distances between (id, x, y) sets."""
     parts = None
     for p, q in ((a, b), (b, a)):
-        near = nearest_points(p, q.select(F.col("id").alias("other"), F.col("x").alias("tx"), F.col("y").alias("ty")), "id", "other", 1, 16.0).agg(F.avg("distance").alias("d"))
+        near = nearest_points(p, q.select(F.col("id").alias("other"), F.col("x").alias("tx"), F.col("y").alias("ty")), "id", "other").agg(F.avg("distance").alias("d"))
         parts = near if parts is None else parts.unionByName(near)
     return parts.agg(F.avg("d").alias("centroid_assd"))
 

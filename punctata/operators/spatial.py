@@ -1,18 +1,20 @@
 """Spatial joins as equi-joins on tiles, with an exact test after.
 
-A tile is a square of the plane. Shapes are dealt to the tiles of their box, points to their own tile;
-a range condition alone would plan as a nested loop. A point has one tile, so no pair is met twice.
+A tile is a square of the plane; a range condition alone would plan as a nested loop. Point-in-shape joins deal
+each shape to a grid level of its own size; nearest searches go down pyramids of tiles by bounds.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctata.functions.session import cut
+from punctata.operators import pyramid
+from punctata.operators.pyramid import finite
 
 
 def tile(c: Column | str, size: float) -> Column:
@@ -66,122 +68,162 @@ def tiled(shapes: DataFrame, size: float, margin: float = 0.0) -> DataFrame:
     return shapes.withColumn("_tx", F.explode(span("x0", "x1"))).withColumn("_ty", F.explode(span("y0", "y1")))
 
 
-def clipped(shapes: DataFrame, size: float) -> DataFrame:
-    """Shapes dealt to the tiles that they reach; a tile has only the segments that decide about its points.
+#: A cell with more segments than this is cut into sixteen, as far as its shape's number of segments calls for.
+MOST_SEGMENTS = 32
+_DEEPEST = 10
 
-    These lie in the tile's row and don't end left of it: a point can touch them or cross them on its way to the
-    right. Segments are dealt to rows first, then along each row, so a large ring costs its vertices for each row
-    and not for each tile. Where no segment comes into a tile, all its points fare as its centre: such tiles are
-    left out or marked ``_whole``, without segments.
+
+def _side(level: Column, unit: float) -> Column:
+    """The side of a grid level's cells: ``unit``, a power of two, times one of four, so that dividing by it is exact."""
+    return F.pow(F.lit(4.0), level.cast("double")) * unit
+
+
+def _with_levels(shapes: DataFrame) -> tuple[DataFrame, float]:
+    """Shapes with finite boxes, their own level ``_l`` and ``_deep``, and the unit of the levels.
+
+    A cell is about a third of the box's longer side, by a factor of two at most. The unit is such that shapes
+    of the usual size, from half to twice as large, share one level.
     """
-    low, high = lambda a, b: tile(F.least(a, b), size), lambda a, b: tile(F.greatest(a, b), size)
-    tx, ty, segs = F.col("_tx"), F.col("_ty"), F.col("segs")
-    rows = shapes.withColumn("_ty", F.explode(F.sequence(tile("y0", size), tile("y1", size))))
-    rows = rows.withColumn("segs", F.filter(segs, lambda s: (low(s.ay, s.by) <= ty) & (high(s.ay, s.by) >= ty)))
-    tiles = rows.withColumn("_tx", F.explode(F.sequence(tile("x0", size), tile("x1", size))))
-    tiles = tiles.withColumn("segs", F.filter(segs, lambda s: high(s.ax, s.bx) >= tx))
-    edge = F.exists(segs, lambda s: low(s.ax, s.bx) <= tx)
-    tiles = tiles.withColumn("_whole", F.when(~edge, odd_crossings(segs, (tx + 0.5) * size, (ty + 0.5) * size)))
-    return tiles.where("_whole IS NULL OR _whole").withColumn("segs", F.when(F.col("_whole").isNull(), segs))
-
-
-def tile_size(shapes: DataFrame) -> float:
-    """A power of two of about half the mean side of the shapes' boxes."""
-    side = shapes.agg(F.avg(F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")))).first()[0]
-    return 2.0 ** math.floor(math.log2(side / 2)) if side and 0 < side < float("inf") else 1.0
-
-
-def in_shapes(points: DataFrame, shapes: DataFrame, size: float | None = None, edges: bool = False) -> DataFrame:
-    """Points joined to every shape (with its outline) that holds them; ``edges`` says whether its edge counts."""
-    size = size or tile_size(shapes)
-    p = points.withColumns({"_tx": tile("x", size), "_ty": tile("y", size)})
-    joined = p.join(clipped(shapes, size), ["_tx", "_ty"])
-    x, y, segs = F.col("x"), F.col("y"), F.col("segs")
+    shapes = shapes.where(finite("x0", "y0", "x1", "y1"))
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    usual = shapes.where(side > 0).agg(F.avg(F.log2(side / 3))).first()[0] or 0.0
+    unit = 2.0 if round(usual) % 2 else 1.0
+    far = F.greatest(*(F.abs(c) for c in ("x0", "y0", "x1", "y1")))
+    own = F.when(side > 0, F.round(F.log(4.0, side / (3 * unit)))).otherwise(0)
+    level = F.greatest(own, F.ceil(F.log(4.0, far)) - 25).cast("int")  # tiles are numbered exactly
+    deep = F.ceil(F.log(4.0, F.size("segs") / MOST_SEGMENTS))
+    return shapes.withColumns({"_l": level, "_deep": F.greatest(F.lit(0), F.least(F.lit(_DEEPEST), deep)).cast("int")}), unit
+
+
+def _in_row(rows: DataFrame, unit: float) -> DataFrame:
+    """Rows of cells (_l, _ty) with the segments that come into them."""
+    size, ty = _side(F.col("_l"), unit), F.col("_ty")
+    touch = lambda s: (F.floor(F.least(s.ay, s.by) / size) <= ty) & (F.floor(F.greatest(s.ay, s.by) / size) >= ty)
+    return rows.withColumn("segs", F.filter("segs", touch))
+
+
+def _in_cell(cells: DataFrame, unit: float) -> DataFrame:
+    """Cells (_l, _tx, _ty) of a row with what decides about their points.
+
+    Segments left of the cell are left out. Those right of it that cross the whole row are crossed by the ray
+    of each of its points: ``_flip`` says whether their number is odd. A cell without a segment of its own is
+    left out, or ``_whole`` if its centre, and so all of it, is inside.
+    """
+    size, tx, ty = _side(F.col("_l"), unit), F.col("_tx"), F.col("_ty")
+    right = lambda s: F.floor(F.least(s.ax, s.bx) / size) > tx
+    across = lambda s: right(s) & (F.least(s.ay, s.by) <= ty * size) & (F.greatest(s.ay, s.by) >= (ty + 1) * size)
+    reach = lambda s: F.floor(F.greatest(s.ax, s.bx) / size) >= tx
+    cells = cells.withColumn("_flip", F.col("_flip") != (F.size(F.filter("segs", across)) % 2 == 1)).withColumn("segs", F.filter("segs", lambda s: reach(s) & ~across(s)))
+    own = F.exists("segs", lambda s: ~right(s))
+    cells = cells.withColumn("_whole", F.when(~own, odd_crossings(F.col("segs"), (tx + 0.5) * size, (ty + 0.5) * size) != F.col("_flip")))
+    return cells.where("_whole IS NULL OR _whole").withColumn("segs", F.when(F.col("_whole").isNull(), F.col("segs")))
+
+
+def covering_cells(shapes: DataFrame) -> tuple[DataFrame, list[int], float]:
+    """Shapes dealt to the cells (_l, _tx, _ty) that they reach, the levels in use, and their unit.
+
+    A multi-level grid: each shape starts on the level of its own size, so it has at most 49 cells there
+    whatever the others' sizes; cells with many segments are cut into sixteen, and a cell that is inside as a whole stays
+    large, without segments.
+    """
+    leveled, unit = _with_levels(shapes)
+    met = leveled.select("_l", "_deep").distinct().collect()  # a few levels
+    levels = sorted({x for r in met for x in range(r[0] - r[1], r[0] + 1)})
+    deepest = max((r[1] for r in met), default=0)
+    size = _side(F.col("_l"), unit)
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
+    cells = _in_cell(_in_row(leveled.withColumn("_flip", F.lit(False)).withColumn("_ty", span("y0", "y1")), unit).withColumn("_tx", span("x0", "x1")), unit)
+    if not deepest:
+        return cells.drop("_deep"), levels, unit
+    four = lambda c: F.explode(F.sequence(F.col(c) * 4, F.col(c) * 4 + 3))
+    full = F.col("_whole").isNull() & (F.col("_deep") > 0) & (F.size("segs") > MOST_SEGMENTS)
+    cells, done = cut(cells), []
+    for _ in range(deepest):
+        done.append(cells.where(~full))
+        split = cells.where(full).withColumns({"_l": F.col("_l") - 1, "_deep": F.col("_deep") - 1})
+        cells = cut(_in_cell(_in_row(split.withColumn("_ty", four("_ty")), unit).withColumn("_tx", four("_tx")), unit))
+    return reduce(DataFrame.unionByName, [*done, cells]).drop("_deep"), levels, unit
+
+
+def in_shapes(points: DataFrame, shapes: DataFrame, edges: bool = False) -> DataFrame:
+    """Points joined to every shape (with its outline) that holds them; ``edges`` says whether its edge counts.
+
+    Points without finite coordinates are in no shape, and a shape with a coordinate that is not finite holds none. A point
+    has one key for each level of the grid in use, so an equi-join finds its cells.
+    """
+    cells, levels, unit = covering_cells(shapes)
+    x, y, segs, size = F.col("x"), F.col("y"), F.col("segs"), _side(F.col("_l"), unit)
+    p = points.where(finite("x", "y")).withColumn("_l", F.explode(F.array(*map(F.lit, levels or [0])))).withColumns({"_tx": F.floor(x / size), "_ty": F.floor(y / size)})
+    joined = p.join(cells, ["_l", "_tx", "_ty"])
     box = x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1"))
-    touch, inside = on_edge(segs, x, y), odd_crossings(segs, x, y)
-    return joined.where(F.coalesce("_whole", box)).where(F.coalesce("_whole", touch | inside if edges else inside & ~touch)).drop("_tx", "_ty", "_whole", "segs", "x0", "y0", "x1", "y1")
+    touch, inside = on_edge(segs, x, y), odd_crossings(segs, x, y) != F.col("_flip")
+    test = touch | inside if edges else inside & ~touch
+    return joined.where(F.coalesce("_whole", box)).where(F.coalesce("_whole", test)).drop("_l", "_tx", "_ty", "_whole", "_flip", "segs", "x0", "y0", "x1", "y1")
 
 
-def count_covering(points: DataFrame, shapes: DataFrame, key: str, name: str, size: float | None = None) -> DataFrame:
+def count_covering(points: DataFrame, shapes: DataFrame, key: str, name: str) -> DataFrame:
     """``points`` with the number of shapes that cover them, edges included, capped at 255."""
-    n = in_shapes(points.select(key, "x", "y"), shapes, size, edges=True).groupBy(key).agg(F.least(F.count("*"), F.lit(255)).alias(name))
+    n = in_shapes(points.select(key, "x", "y"), shapes, edges=True).groupBy(key).agg(F.least(F.count("*"), F.lit(255)).alias(name))
     return points.join(n, key, "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
 
 
-def _finite(*columns: str) -> Column:
-    out = F.lit(True)
-    for c in columns:
-        out = out & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
-    return out
+def _no_rows(points: DataFrame, key: str, *columns: str) -> DataFrame:
+    return points.select(key, *(F.expr(c) for c in columns)).where("false")
+
 
+def nearest_segments(points: DataFrame, shapes: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, ``order``, distance, edge_x, edge_y): each point's nearest outline, and its nearest place on it.
 
-def _reach_of_all(points: DataFrame, low: DataFrame) -> float | None:
-    """A distance that no point is from any of the boxes (x0 y0 x1 y1) of ``low``; None without boxes."""
-    box = [F.min("x0"), F.min("y0"), F.max("x1"), F.max("y1")]
-    a = low.agg(*box).first()
-    b = points.select(F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1")).agg(*box).first()
-    if a[0] is None:
-        return None
-    return 1.01 * ((max(a[2], b[2]) - min(a[0], b[0])) ** 2 + (max(a[3], b[3]) - min(a[1], b[1])) ** 2) ** 0.5 + 1e-6
+    Of equal distances the least ``order``, then the first segment. The targets are the single segments of all rings, so a ring of
+    any size is met only where it is near. Points without finite coordinates have no row; segments without are no
+    targets; without targets no point has a row.
+    """
+    segs = shapes.select(order, F.posexplode("segs").alias("_i", "_s")).select(order, "_i", "_s.*").where(finite("ax", "ay", "bx", "by"))
+    boxed = segs.withColumns({"x0": F.least("ax", "bx"), "y0": F.least("ay", "by"), "x1": F.greatest("ax", "bx"), "y1": F.greatest("ay", "by"), "cx": (F.col("ax") + F.col("bx")) / 2, "cy": (F.col("ay") + F.col("by")) / 2})
+    found = pyramid.candidates(_as_targets(points.where(finite("x", "y")).select(key, "x", "y"), "x", "y"), boxed, 1)
+    if found is None:
+        kind = dict(shapes.dtypes)[order]
+        return _no_rows(points, key, f"cast(null as {kind}) AS {order}", "cast(null as double) AS distance", "cast(null as double) AS edge_x", "cast(null as double) AS edge_y")
+    p, near = found
+    x, y, dx, dy = F.col("x"), F.col("y"), F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+    t = F.coalesce(F.try_divide((x - F.col("ax")) * dx + (y - F.col("ay")) * dy, dx * dx + dy * dy), F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+    both = p.select(key, "x", "y", "_node").join(near, "_node").withColumn("_t", t)
+    both = both.withColumns({"_ex": F.col("ax") + F.col("_t") * dx, "_ey": F.col("ay") + F.col("_t") * dy})
+    both = both.withColumn("_d", F.hypot(x - F.col("_ex"), y - F.col("_ey"))).where(pyramid.within("_d"))
+    best = F.min(F.struct(F.col("_d").alias("d"), F.col(order).alias("o"), "_i", "_ex", "_ey")).alias("_b")
+    return both.groupBy(key).agg(best).select(key, F.col("_b.o").alias(order), F.col("_b.d").alias("distance"), F.col("_b._ex").alias("edge_x"), F.col("_b._ey").alias("edge_y"))
 
 
-def nearest_outlines(points: DataFrame, shapes: DataFrame, key: str, order: str, reach: float = 4.0) -> DataFrame:
-    """(key, ``order``, distance): each point's nearest outline; of equal distances the least ``order``.
+def nearest_outlines(points: DataFrame, shapes: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, ``order``, distance): each point's nearest outline; of equal distances the least ``order``; cases as in ``nearest_segments``."""
+    return nearest_segments(points, shapes, key, order).select(key, order, "distance")
 
-    Shapes whose box lies within the round's reach are candidates; a result within the reach is final,
-    other points go to the next round with twice the reach and tiles twice as wide (eight times after a
-    round that found nothing). Rounds end when no point is left, at the latest when the reach spans all
-    shapes and points; each reads what the last one left from a checkpoint. Points without finite
-    coordinates have no row, and without shapes no point has.
-    """
-    left, out, most = points.where(_finite("x", "y")).select(key, "x", "y"), None, 0.0
-    while True:
-        p = left.withColumns({"_tx": tile("x", 2 * reach), "_ty": tile("y", 2 * reach)})
-        near = p.join(tiled(shapes, 2 * reach, reach).select(order, "segs", "_tx", "_ty"), ["_tx", "_ty"])
-        d = near.select(key, order, outline_distance(F.col("segs"), F.col("x"), F.col("y")).alias("distance")).where(F.col("distance") <= reach)
-        best = cut(d.groupBy(key).agg(F.min(F.struct("distance", order)).alias("_b")).select(key, F.col(f"_b.{order}").alias(order), F.col("_b.distance").alias("distance")))
-        out = best if out is None else out.unionByName(best)
-        left = cut(left.join(best.select(key), key, "left_anti"))
-        if left.isEmpty():
-            return out
-        most = most or _reach_of_all(left, shapes)
-        if most is None or reach >= most:
-            return out
-        reach *= 8 if best.isEmpty() else 2
-
-
-def nearest_points(points: DataFrame, targets: DataFrame, key: str, target: str, k: int = 1, size: float = 8.0, skip_same: bool = False) -> DataFrame:
+
+def _as_targets(rows: DataFrame, x: str, y: str) -> DataFrame:
+    return rows.withColumns({c: F.col(v) for c, v in (("cx", x), ("cy", y), ("x0", x), ("y0", y), ("x1", x), ("y1", y))})
+
+
+def nearest_points(points: DataFrame, targets: DataFrame, key: str, target: str, k: int = 1, skip_same: bool = False) -> DataFrame:
     """(key, target, distance, nth): the k nearest of ``targets(target, tx, ty)`` to ``points(key, x, y)``; ties by id.
 
-    Candidates stand in the three by three tiles around a point, all of which are at least a tile away
-    at their outer edge; a k-th distance within one tile is final. Others go on with tiles twice as wide
-    (eight times after a round that settled nothing). The last round's tiles span all points and targets:
-    points with fewer than k targets in all get those. Points and targets without finite coordinates have no row.
+    Points with fewer than k targets in all get those. Of targets at one place only the least ids can be among the
+    nearest, so others are left out first. Points and targets without finite coordinates have no row.
     """
-    left, out, most = points.where(_finite("x", "y")).select(key, "x", "y"), None, 0.0
-    targets = targets.where(_finite("tx", "ty"))
+    need = k + 1 if skip_same else k
+    places = Window.partitionBy("tx", "ty").orderBy(target)
+    least = targets.where(finite("tx", "ty")).select(F.col(target), F.col("tx").cast("double").alias("tx"), F.col("ty").cast("double").alias("ty"))
+    least = least.withColumn("_nth", F.row_number().over(places)).where(F.col("_nth") <= need).drop("_nth")
+    found = pyramid.candidates(_as_targets(points.where(finite("x", "y")).select(key, "x", "y"), "x", "y"), _as_targets(least, "tx", "ty"), need)
+    if found is None:
+        return _no_rows(points, key, f"cast(null as {dict(targets.dtypes)[target]}) AS {target}", "cast(null as double) AS distance", "cast(null as int) AS nth")
+    p, near = found
+    both = p.select(key, "x", "y", "_node").join(near, "_node")
+    if skip_same:
+        both = both.where(F.col(key) != F.col(target))
+    d2 = (F.col("x") - F.col("tx")) * (F.col("x") - F.col("tx")) + (F.col("y") - F.col("ty")) * (F.col("y") - F.col("ty"))
     w = Window.partitionBy(key).orderBy("d2", target)
-    while True:
-        around = F.explode(F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (-1, 0, 1) for b in (-1, 0, 1))))
-        p = left.withColumn("_o", around).select(key, "x", "y", (tile("x", size) + F.col("_o.a")).alias("_tx"), (tile("y", size) + F.col("_o.b")).alias("_ty"))
-        t = targets.select(F.col(target), "tx", "ty", tile("tx", size).alias("_tx"), tile("ty", size).alias("_ty"))
-        near = p.join(t, ["_tx", "_ty"])
-        if skip_same:
-            near = near.where(F.col(key) != F.col(target))
-        d2 = (F.col("x") - F.col("tx")) * (F.col("x") - F.col("tx")) + (F.col("y") - F.col("ty")) * (F.col("y") - F.col("ty"))
-        ranked = near.select(key, target, d2.alias("d2")).withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k)
-        last = bool(most) and size >= most
-        full = F.max("d2").over(Window.partitionBy(key)) <= size * size
-        enough = F.count("*").over(Window.partitionBy(key)) == k
-        done = cut((ranked if last else ranked.withColumn("_ok", full & enough).where("_ok").drop("_ok")).select(key, target, F.sqrt("d2").alias("distance"), "nth"))
-        out = done if out is None else out.unionByName(done)
-        left = cut(left.join(done.select(key).distinct(), key, "left_anti"))
-        if last or left.isEmpty():
-            return out
-        most = most or _reach_of_all(left, targets.select(F.col("tx").alias("x0"), F.col("ty").alias("y0"), F.col("tx").alias("x1"), F.col("ty").alias("y1")))
-        if most is None:
-            return out
-        size *= 8 if done.isEmpty() else 2
+    return both.withColumn("d2", d2).where(pyramid.within(F.sqrt("d2"))).select(key, target, "d2").withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= k).select(key, target, F.sqrt("d2").alias("distance"), "nth")
 
 
 def pairs_within(points: DataFrame, key: str, reach: float, by: Sequence[str] = ()) -> DataFrame:
@@ -232,22 +274,20 @@ def nearest_on_outline(segs: Column, x: Column, y: Column) -> Column:
     return F.aggregate(first, first[0], lambda best, at: F.when(at.d < best.d, at).otherwise(best))
 
 
-def assign_objects(points: DataFrame, objects: DataFrame, key: str, order: str, reach: float = 16.0) -> DataFrame:
+def assign_objects(points: DataFrame, objects: DataFrame, key: str, order: str) -> DataFrame:
     """Each point's object: the containing one (edges included) whose own edge is nearest, distance negative; else the nearest edge.
 
     ``edge_x``, ``edge_y``: the nearest point of that object's edge. Points without finite coordinates stay,
     with ``missing_coordinate`` set; without objects all others stay too, with nulls.
     """
-    ok = cut(points.where(_finite("x", "y")).select(key, "x", "y"))
-    p = ok.withColumns({"_tx": tile("x", reach), "_ty": tile("y", reach)}).join(tiled(objects, reach), ["_tx", "_ty"])
+    ok = cut(points.where(finite("x", "y")).select(key, "x", "y"))
     x, y, segs = F.col("x"), F.col("y"), F.col("segs")
-    held = p.where(x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1"))).where(on_edge(segs, x, y) | odd_crossings(segs, x, y))
-    best = held.groupBy(key).agg(F.min(F.struct(outline_distance(segs, x, y).alias("d"), F.col(order).alias("o"))).alias("_b"))
-    inside = best.select(key, F.col("_b.o").alias(order), (-F.col("_b.d")).alias("distance"), F.lit(True).alias("inside"))
-    near = nearest_outlines(ok.join(inside.select(key), key, "left_anti"), objects, key, order, reach).withColumn("inside", F.lit(False))
-    found = inside.unionByName(near).join(ok, key).join(objects.select(order, "segs"), order)
-    found = found.withColumn("_e", nearest_on_outline(segs, x, y)).select(key, order, "distance", "inside", F.col("_e.x").alias("edge_x"), F.col("_e.y").alias("edge_y"))
-    missing = ~F.coalesce(_finite("x", "y"), F.lit(False))
+    held = in_shapes(ok, objects, edges=True).select(key, "x", "y", order).join(objects.select(order, "segs"), order)
+    best = held.groupBy(key).agg(F.min(F.struct(F.struct(nearest_on_outline(segs, x, y)["d"].alias("d"), F.col(order).alias("o")).alias("by"), nearest_on_outline(segs, x, y).alias("e"))).alias("_b"))
+    inside = cut(best.select(key, F.col("_b.by.o").alias(order), (-F.col("_b.by.d")).alias("distance"), F.lit(True).alias("inside"), F.col("_b.e.x").alias("edge_x"), F.col("_b.e.y").alias("edge_y")))
+    near = nearest_segments(ok.join(inside.select(key), key, "left_anti"), objects, key, order).withColumn("inside", F.lit(False))
+    found = inside.unionByName(near)
+    missing = ~F.coalesce(finite("x", "y"), F.lit(False))
     return points.select(key, "x", "y").join(found, key, "left").select(key, order, "distance", F.coalesce("inside", F.lit(False)).alias("inside"), missing.alias("missing_coordinate"), "edge_x", "edge_y")
 
 

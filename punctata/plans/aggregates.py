@@ -355,9 +355,9 @@ def a37(spark, d):
 def a37_support(spark, d):
     """Share of one section's cells beyond five median gaps of the other section's, the anchors."""
     anchors = roles.cells(spark, d).where("instance_id % 2 = 0").groupBy(F.col("cx").alias("tx"), F.col("cy").alias("ty")).agg(F.min("instance_id").alias("other"))  # cells may share a place
-    gaps = S.nearest_points(anchors.select(F.col("other").alias("id"), F.col("tx").alias("x"), F.col("ty").alias("y")), anchors, "id", "other", 1, 16.0, skip_same=True)
+    gaps = S.nearest_points(anchors.select(F.col("other").alias("id"), F.col("tx").alias("x"), F.col("ty").alias("y")), anchors, "id", "other", 1, skip_same=True)
     radius = gaps.where("distance > 0").agg((F.median("distance") * 5).alias("radius"))
-    near = S.nearest_points(roles.cells(spark, d).where("instance_id % 2 = 1").select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y")), anchors, "instance_id", "other", 1, 16.0)
+    near = S.nearest_points(roles.cells(spark, d).where("instance_id % 2 = 1").select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y")), anchors, "instance_id", "other")
     return near.crossJoin(F.broadcast(radius)).agg(R(F.first("radius")).alias("radius"), R(F.avg((F.col("distance") > F.col("radius")).cast("double"))).alias("extrapolated"))
 
 

@@ -96,7 +96,7 @@ def samples(spark, d):
 def j10(spark, d):
     points = roles.cells(spark, d).select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y"))
     s = samples(spark, d)
-    near = S.nearest_points(points, s, "instance_id", "k", 1, 16.0)
+    near = S.nearest_points(points, s, "instance_id", "k")
     return near.join(s.select("k", "line", "pia", "thickness"), "k").select("instance_id", F.col("line").alias("column_id"), F.round("pia", 6).alias("pia_distance"), F.round(F.greatest(F.col("thickness") - F.col("pia"), F.lit(0.0)), 6).alias("wm_distance"))
 
 
@@ -119,7 +119,7 @@ def j12(spark, d):
 
 def j23(spark, d):
     cells = roles.cells(spark, d).select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y"))
-    near = S.nearest_points(cells, cells.select(F.col("instance_id").alias("other"), F.col("x").alias("tx"), F.col("y").alias("ty")), "instance_id", "other", 6, 24.0, skip_same=True)
+    near = S.nearest_points(cells, cells.select(F.col("instance_id").alias("other"), F.col("x").alias("tx"), F.col("y").alias("ty")), "instance_id", "other", 6, skip_same=True)
     return near.select("instance_id", "other", F.round("distance", 6).alias("distance"), F.col("nth").cast("long").alias("nth"))
 
 

@@ -33,7 +33,7 @@ def test_nearest_points_however_far(spark):
     targets = spark.createDataFrame([(7, 3.0, 4.0), (8, 2e6, 0.0), (9, 6.0, 8.0)], "t long, tx double, ty double")
     want = {(p, t): math.hypot(x - tx, y - ty) for p, x, y in ((1, 0.0, 0.0), (2, 1e6, -1e6)) for t, tx, ty in ((7, 3.0, 4.0), (8, 2e6, 0.0), (9, 6.0, 8.0))}
     for k in (2, 5):
-        got = S.nearest_points(points, targets, "id", "t", k, 5000.0).collect()
+        got = S.nearest_points(points, targets, "id", "t", k).collect()
         for p in (1, 2):
             mine = sorted((d, t) for (q, t), d in want.items() if q == p)[:k]
             found = [(round(r.distance, 6), r.t) for r in sorted(got, key=lambda r: r.nth) if r.id == p]
@@ -97,8 +97,8 @@ def test_metrics_by_row_order_and_medians(spark):
     assert (row.median_area, row.median_eccentricity) == (6.0, pytest.approx(0.6))
 
 
-def test_points_in_a_large_ring_by_brute_force(spark):
-    """A star-shaped ring over many tiles, with small tiles: whole tiles, edge tiles and points on the edge."""
+def test_points_in_a_large_ring_by_brute_force(spark, monkeypatch):
+    """A star-shaped ring over many cells, cut at few segments: whole tiles, edge tiles and points on the edge."""
     import random
 
     r = random.Random(8)
@@ -119,8 +119,9 @@ def test_points_in_a_large_ring_by_brute_force(spark):
         return "in" if odd else "out"
 
     rows = spark.createDataFrame(points, "point int, x double, y double")
-    for size in (1.0, 2.5, 64.0, None):
+    for most in (1, 4, 32):
+        monkeypatch.setattr(S, "MOST_SEGMENTS", most)
         for edges in (False, True):
-            got = {(x.point, x.shape) for x in S.in_shapes(rows, S.with_outline(rings, "ring"), size, edges).collect()}
+            got = {(x.point, x.shape) for x in S.in_shapes(rows, S.with_outline(rings, "ring"), edges).collect()}
             want = {(i, s) for s, g in ((1, ring), (2, square)) for i, x, y in points if state(g, x, y) in (("in", "edge") if edges else ("in",))}
             assert got == want

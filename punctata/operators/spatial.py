@@ -154,7 +154,8 @@ def in_shapes(points: DataFrame, shapes: DataFrame, edges: bool = False) -> Data
     cells, levels, unit = covering_cells(shapes)
     x, y, segs, size = F.col("x"), F.col("y"), F.col("segs"), _side(F.col("_l"), unit)
     p = points.where(finite("x", "y")).withColumn("_l", F.explode(F.array(*map(F.lit, levels or [0])))).withColumns({"_tx": F.floor(x / size), "_ty": F.floor(y / size)})
-    joined = p.join(cells, ["_l", "_tx", "_ty"])
+    # Sizes of exploded shapes are not known beforehand: without the hint a small table of large shapes would be broadcast.
+    joined = p.join(cells.hint("merge"), ["_l", "_tx", "_ty"])
     box = x.between(F.col("x0"), F.col("x1")) & y.between(F.col("y0"), F.col("y1"))
     touch, inside = on_edge(segs, x, y), odd_crossings(segs, x, y) != F.col("_flip")
     test = touch | inside if edges else inside & ~touch

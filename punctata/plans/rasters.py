@@ -6,8 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from punctata import roles
+from punctata.operators import clusters as C
 from punctata.operators import graphs as G
 from punctata.operators import ids
+from punctata.operators import neighbours as N
 from punctata.operators import rasters as I
 from punctata.operators import reports
 from punctata.operators import spatial as S
@@ -94,8 +96,13 @@ def j24(spark, d):
     return rows.select("vec_id", "other", R("d2").alias("d2"), F.col("nth").cast("long").alias("nth"))
 
 
+def j24_approximate(spark, d):
+    rows = N.approximate_neighbours(_vectors(spark, d), "vec_id", "embedding", 5)
+    return rows.select("vec_id", "other", R("d2").alias("d2"), F.col("nth").cast("long").alias("nth"))
+
+
 def _knn(spark, d, k=6):
-    return G.expression_neighbours(_vectors(spark, d), "vec_id", "embedding", k).select(F.col("vec_id").alias("src"), F.col("other").alias("dst"), F.lit(1.0).alias("w"))
+    return N.approximate_neighbours(_vectors(spark, d), "vec_id", "embedding", k).select(F.col("vec_id").alias("src"), F.col("other").alias("dst"), F.lit(1.0).alias("w"))
 
 
 def a32(spark, d):
@@ -113,12 +120,12 @@ def x01(spark, d):
 
 
 def x02(spark, d):
-    points = roles.numbered_transcripts(spark, d).withColumn("cell", F.expr("cell_id % 60"))
-    return G.k_core(S.pairs_within(points, "transcript_id", 12.0, ["cell"]), "cell", 2)
+    points = roles.numbered_transcripts(spark, d)
+    return G.k_core(S.pairs_within(points, "transcript_id", 60.0, ["cell_id"]), "cell_id", 2)
 
 
 def x03(spark, d):
-    return G.dense_labels(G.propagate(_knn(spark, d)))
+    return G.dense_labels(C.modularity_clusters(_knn(spark, d)))
 
 
 def x04(spark, d):
@@ -129,7 +136,10 @@ def x04(spark, d):
         best = ids.first_of(votes, ["cluster"], [F.desc("k"), "truth"])
         return clusters.join(best.select("cluster", F.concat(F.lit("class"), F.col("truth").cast("string")).alias("class")), "cluster")
 
-    return G.two_level(_vectors(spark, d), "vec_id", "embedding", classes, 6, 20)
+    def halves(classed):
+        return classed.withColumn("part", F.when(F.col("class") == "class0", F.when(F.col("cluster") % 2 == 0, "even").otherwise("odd")))
+
+    return C.two_level(_vectors(spark, d), "vec_id", "embedding", classes, 6, 20, split=halves)
 
 
 def x05(spark, d):
@@ -151,7 +161,7 @@ def x06(spark, d):
 
 QUERIES = {
     "r01_area_filter": r01, "r01_label_areas": r01_areas, "r02_shape_filter": r02, "r03_image_statistics": r03, "r04_max_projection": r04, "r05_zero_background": r05, "r06_tile_grid": r06, "r07_stitch": r07,
-    "r08_coarser": r08, "r09_outline": r09, "r10_depth_columns": r10, "j24_expression_knn": j24, "a32_pca": a32, "a32_variance": a32_variance, "x01_bulk_points": x01, "x02_k_core": x02, "x03_graph_clusters": x03,
+    "r08_coarser": r08, "r09_outline": r09, "r10_depth_columns": r10, "j24_expression_knn": j24, "j24_approximate_knn": j24_approximate, "a32_pca": a32, "a32_variance": a32_variance, "x01_bulk_points": x01, "x02_k_core": x02, "x03_graph_clusters": x03,
     "x04_two_level_clusters": x04, "x05_components": x05, "x06_residual_warp": x06,
 }
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,6 +69,21 @@ def export_filter(points: DataFrame, exclude: str, min_qv: float) -> tuple[Colum
     return F.coalesce(ok, F.lit(False)), F.coalesce(F.col("gene").rlike(f"^(?:{exclude})"), F.lit(False))
 
 
+def exported(points: DataFrame, exclude: str, min_qv: float) -> tuple[DataFrame, Observation]:
+    """The rows that ``export_filter`` leaves, and an observation of n_input, n_written, n_excluded and n_seeded (written with an assignment).
+
+    The counters are filled by the first action on the rows, so writing them counts them.
+    """
+    usable, excluded = export_filter(points, exclude, min_qv)
+    seen = Observation()
+    marked = points.withColumns({"_usable": usable, "_excluded": excluded})
+    ok = F.col("_usable") & ~F.col("_excluded")
+    marked = marked.observe(
+        seen, F.count(F.lit(1)).alias("n_input"), F.count_if(ok).alias("n_written"), F.count_if(F.col("_usable") & F.col("_excluded")).alias("n_excluded"), F.count_if(ok & F.col("assignment").isNotNull()).alias("n_seeded"),
+    )
+    return marked.where(ok).drop("_usable", "_excluded"), seen
+
+
 def crop(points: DataFrame, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
     return points.where(F.col("x").between(x0, x1) & F.col("y").between(y0, y1))
 

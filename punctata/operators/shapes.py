@@ -72,8 +72,24 @@ def geometry(shapes: DataFrame, ring: Column, key: str) -> DataFrame:
     )
 
 
+def interior_point(ring: Column) -> Column:
+    """A point strictly inside the ring: the middle of the widest chord of a scan line; null if the ring has no inside there.
+
+    The scan line lies halfway between two neighbouring heights of vertices: those around the middle of the box.
+    """
+    ys = F.array_sort(F.array_distinct(F.transform(ring, lambda p: p.y)))
+    middle = (ys[0] + F.element_at(ys, -1)) / 2
+    below, above = F.array_max(F.filter(ys, lambda v: v <= middle)), F.array_min(F.filter(ys, lambda v: v > middle))
+    y = (below + above) / 2
+    at = lambda s: s.ax + (y - s.ay) * (s.bx - s.ax) / (s.by - s.ay)
+    xs = F.array_sort(F.transform(F.filter(_segments(ring), lambda s: (s.ay > y) != (s.by > y)), at))
+    chord = lambda i: F.struct((F.get(xs, 2 * i + 1) - F.get(xs, 2 * i)).alias("w"), ((F.get(xs, 2 * i) + F.get(xs, 2 * i + 1)) / 2).alias("x"))
+    best = F.array_max(F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor(F.size(xs) / 2).cast("int") - 1)), chord))
+    return F.when((F.size(xs) >= 2) & (best.w > 0), F.struct(best.x.alias("x"), y.alias("y")))
+
+
 def centroids(shapes: DataFrame, ring: Column, key: str) -> DataFrame:
-    """(key, x, y): area centroid; the box's centre where the area is 0 or the centroid falls out of the box."""
+    """(key, x, y): area centroid; where the area is 0 or the centroid falls out of the box, an interior point, else the box's centre."""
     rows = shapes.select(key, ring.alias("_r"))
     r = F.col("_r")
     segs, area = _segments(r), signed_area(r)
@@ -81,7 +97,8 @@ def centroids(shapes: DataFrame, ring: Column, key: str) -> DataFrame:
     rows = rows.withColumns({"_a": area, "_sx": _total(segs, lambda s: (s.ax + s.bx) * cross(s)), "_sy": _total(segs, lambda s: (s.ay + s.by) * cross(s)), **{f"_{f}{v}": g(F.transform(r, (lambda p: p.x) if v == "x" else (lambda p: p.y))) for v in "xy" for f, g in (("lo", F.array_min), ("hi", F.array_max))}})
     at = {v: F.try_divide(F.col(f"_s{v}"), 6 * F.col("_a")) for v in "xy"}
     ok = F.coalesce(at["x"].between(F.col("_lox"), F.col("_hix")) & at["y"].between(F.col("_loy"), F.col("_hiy")), F.lit(False))
-    return rows.select(key, *(F.when(ok, at[v]).otherwise((F.col(f"_lo{v}") + F.col(f"_hi{v}")) / 2).alias(v) for v in "xy"))
+    rows = rows.withColumn("_i", F.when(~ok, interior_point(r)))
+    return rows.select(key, *(F.when(ok, at[v]).otherwise(F.coalesce(F.col(f"_i.{v}"), (F.col(f"_lo{v}") + F.col(f"_hi{v}")) / 2)).alias(v) for v in "xy"))
 
 
 def transform_rings(ring: Column, matrix) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from punctata.functions.session import cut
@@ -261,6 +261,24 @@ def compartments(points: DataFrame, cells: DataFrame, nuclei: DataFrame, key: st
     return marked.withColumns({"compartment": kind, "cell_distance": sign("n_cells", "_cell"), "nucleus_distance": sign("n_nuclei", "_nucleus")}).drop("_cell", "_nucleus")
 
 
+def classified_points(points: DataFrame, tissue: DataFrame, cells: DataFrame, nuclei: DataFrame, control: Column, key: str, cell_key: str, nucleus_key: str) -> tuple[DataFrame, dict[str, int]]:
+    """``compartments`` of the points strictly inside a tissue shape that are no controls, and counters of what was dropped.
+
+    Counters: n_input, n_missing (no finite coordinates), n_control, n_outside (of those with coordinates that are no controls) and
+    n_kept. They are observed while the kept rows are written, so no second pass counts them.
+    """
+    inside = in_shapes(points.select(key, "x", "y"), tissue).select(key).distinct().withColumn("_in", F.lit(True))
+    rows = points.withColumns({"_ok": F.coalesce(finite("x", "y"), F.lit(False)), "_control": F.coalesce(control, F.lit(False))}).join(inside, key, "left")
+    kept = F.col("_ok") & ~F.col("_control") & F.col("_in").isNotNull()
+    seen = Observation()
+    observed = rows.observe(
+        seen, F.count(F.lit(1)).alias("n_input"), F.count_if(~F.col("_ok")).alias("n_missing"), F.count_if(F.col("_ok") & F.col("_control")).alias("n_control"),
+        F.count_if(F.col("_ok") & ~F.col("_control") & F.col("_in").isNull()).alias("n_outside"), F.count_if(kept).alias("n_kept"),
+    )
+    base = cut(observed.where(kept).drop("_ok", "_control", "_in"))
+    return compartments(base, cells, nuclei, key, cell_key, nucleus_key), dict(seen.get)
+
+
 def nearest_on_outline(segs: Column, x: Column, y: Column) -> Column:
     """(d, x, y) of the nearest point of the segments; of equal distances the first segment's."""
 

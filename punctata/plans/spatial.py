@@ -86,18 +86,22 @@ def j09(spark, d):
 _SAMPLES = "s_nationkey AS line, s_suppkey AS k, CAST(s_nationkey * 19 % 500 AS DOUBLE) + s_suppkey % 7 AS tx, CAST(s_suppkey * 13 % 500 AS DOUBLE) AS ty, 50e0 + s_nationkey AS thickness"
 
 
-def samples(spark, d):
-    """Streamline samples with their depth: cumulative length, scaled to the line's thickness."""
-    from punctata.operators.paths import scaled_length
+_PIA = "n_regionkey AS curve, n_nationkey AS k, CAST(n_nationkey * 20 AS DOUBLE) AS x, CAST(n_nationkey * 37 % 50 AS DOUBLE) + 100e0 * n_regionkey AS y"
+
 
-    return scaled_length(table(spark, d, "supplier").selectExpr(*roles._select(_SAMPLES)), ["line"], "k", "tx", "ty", "thickness", "pia")
+def samples(spark, d):
+    """Samples of streamlines in order, their lines' thickness, and whether a line reached the other side."""
+    rows = table(spark, d, "supplier").selectExpr(*roles._select(_SAMPLES))
+    return rows.withColumnsRenamed({"tx": "x", "ty": "y"}).withColumn("reached", F.expr("line % 5 > 0"))
 
 
 def j10(spark, d):
+    from punctata.operators.paths import streamline_depth
+
     points = roles.cells(spark, d).select("instance_id", F.col("cx").alias("x"), F.col("cy").alias("y"))
-    s = samples(spark, d)
-    near = S.nearest_points(points, s, "instance_id", "k")
-    return near.join(s.select("k", "line", "pia", "thickness"), "k").select("instance_id", F.col("line").alias("column_id"), F.round("pia", 6).alias("pia_distance"), F.round(F.greatest(F.col("thickness") - F.col("pia"), F.lit(0.0)), 6).alias("wm_distance"))
+    pia = table(spark, d, "nation").selectExpr(*roles._select(_PIA))
+    rows = streamline_depth(points, samples(spark, d), pia, "instance_id")
+    return rows.select("instance_id", "column_id", *(F.round(c, 6).alias(c) for c in ("pia_distance", "wm_distance", "tangential")))
 
 
 def j11(spark, d):
@@ -205,10 +209,15 @@ ORACLES = {
         SELECT coalesce(label, 0) AS label, count(*) AS n, CAST(sum(transcript_id) AS BIGINT) AS ids FROM a LEFT JOIN mask USING (row, col) GROUP BY 1"""),
     "j09_priority_labels": sql("cells objects", f"""o AS (SELECT cx AS ox, cy AS oy, half AS h, {_RANK} AS rank, {_LABEL} AS label FROM objects)
         SELECT instance_id, coalesce(max_by(label, rank), 'outside_brain') AS tissue FROM cells LEFT JOIN o ON cx > ox - h AND cx < ox + h AND cy > oy - h AND cy < oy + h GROUP BY 1"""),
-    "j10_streamline_depth": sql("cells", f"""s AS (SELECT {_SAMPLES} FROM supplier), g AS (SELECT *, coalesce(sqrt(pow(tx - lag(tx) OVER w, 2) + pow(ty - lag(ty) OVER w, 2)), 0e0) AS step FROM s WINDOW w AS (PARTITION BY line ORDER BY k)),
+    "j10_streamline_depth": sql("cells", f"""s0 AS (SELECT {_SAMPLES} FROM supplier), ok AS (SELECT line FROM s0 WHERE line % 5 > 0 GROUP BY 1 HAVING count(*) > 1), s AS (SELECT * FROM s0 WHERE line IN (SELECT line FROM ok) OR (SELECT count(*) FROM ok) = 0),
+        g AS (SELECT *, coalesce(sqrt(pow(tx - lag(tx) OVER w, 2) + pow(ty - lag(ty) OVER w, 2)), 0e0) AS step FROM s WINDOW w AS (PARTITION BY line ORDER BY k)),
         l AS (SELECT *, sum(step) OVER (PARTITION BY line ORDER BY k ROWS UNBOUNDED PRECEDING) AS len FROM g), t AS (SELECT *, CASE WHEN max(len) OVER (PARTITION BY line) > 0 THEN len * thickness / max(len) OVER (PARTITION BY line) ELSE 0e0 END AS pia FROM l),
+        c AS (SELECT {_PIA} FROM nation), e AS (SELECT *, lead(x) OVER w AS bx, lead(y) OVER w AS by_, coalesce(sqrt(pow(x - lag(x) OVER w, 2) + pow(y - lag(y) OVER w, 2)), 0e0) AS step FROM c WINDOW w AS (PARTITION BY curve ORDER BY k)),
+        z AS (SELECT *, sum(step) OVER (PARTITION BY curve ORDER BY k ROWS UNBOUNDED PRECEDING) AS len FROM e), o AS (SELECT line, min_by(tx, k) AS px, min_by(ty, k) AS py FROM s GROUP BY 1),
+        u AS (SELECT *, greatest(0e0, least(1e0, ((px - x) * (bx - x) + (py - y) * (by_ - y)) / ((bx - x) * (bx - x) + (by_ - y) * (by_ - y)))) AS f FROM o, z WHERE bx IS NOT NULL),
+        v AS (SELECT line, len + f * sqrt(pow(bx - x, 2) + pow(by_ - y, 2)) AS tangential, row_number() OVER (PARTITION BY line ORDER BY sqrt(pow(px - x - f * (bx - x), 2) + pow(py - y - f * (by_ - y), 2)), curve, k) AS nth FROM u),
         r AS (SELECT instance_id, line, pia, thickness, row_number() OVER (PARTITION BY instance_id ORDER BY (cx - tx) * (cx - tx) + (cy - ty) * (cy - ty), k) AS nth FROM cells, t)
-        SELECT instance_id, line AS column_id, round(pia, 6) AS pia_distance, round(greatest(thickness - pia, 0e0), 6) AS wm_distance FROM r WHERE nth = 1"""),
+        SELECT instance_id, r.line AS column_id, round(pia, 6) AS pia_distance, round(greatest(thickness - pia, 0e0), 6) AS wm_distance, round(tangential, 6) AS tangential FROM r JOIN v ON r.line = v.line AND v.nth = 1 WHERE r.nth = 1"""),
     "j11_bilinear": sql("cells pixels", """p AS (SELECT instance_id, cx % 70 + 0.25e0 AS x, cy + 0.5e0 AS y FROM cells), v AS (SELECT row, col, round(value * 1024) AS v FROM pixels),
         q AS (SELECT instance_id, CAST(floor(y) AS BIGINT) + i AS row, CAST(floor(x) AS BIGINT) + j AS col, (CASE i WHEN 0 THEN 1 - (y - floor(y)) ELSE y - floor(y) END) * (CASE j WHEN 0 THEN 1 - (x - floor(x)) ELSE x - floor(x) END) AS w FROM p, range(2) a(i), range(2) b(j))
         SELECT instance_id, CASE WHEN count(v) = 4 THEN sum(v * w) END AS value FROM q LEFT JOIN v USING (row, col) GROUP BY 1"""),

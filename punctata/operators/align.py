@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctata.functions.ranks import quantiles
+from punctata.functions.session import cut
 from punctata.operators.spatial import nearest_points
 
 
@@ -91,8 +93,10 @@ def fit_affine(pairs: DataFrame) -> list[list[float]]:
 
 def displacement_summary(pairs: DataFrame) -> DataFrame:
     d = F.sqrt((F.col("u") - F.col("x")) * (F.col("u") - F.col("x")) + (F.col("v") - F.col("y")) * (F.col("v") - F.col("y")))
-    q = F.percentile("_d", F.array(F.lit(0.5), F.lit(0.95)))
-    return pairs.withColumn("_d", d).agg(F.min("_d").alias("min"), q.alias("_q"), F.max("_d").alias("max")).select("min", F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p95"), "max")
+    rows = cut(pairs.select(d.alias("_d")))
+    q = quantiles(rows, "_d", [0.5, 0.95])
+    ends = rows.agg(F.min("_d").alias("min"), F.max("_d").alias("max"))  # one row, as q at most
+    return ends.join(q, F.lit(True), "left").select("min", F.col("quantiles")[0].alias("p50"), F.col("quantiles")[1].alias("p95"), "max")
 
 
 def density(points: DataFrame, bins_x: int, bins_y: int, x0: float, x1: float, y0: float, y1: float) -> DataFrame:

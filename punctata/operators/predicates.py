@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from punctata.functions import names as N
+from punctata.functions.ranks import quantiles
 
 
 def _c(c: Column | str) -> Column:
@@ -196,8 +197,8 @@ def depth_flag(inside: Column, depth: Column, streamline: Column, near_side: Col
 def stretch(rows: DataFrame, column: str = "value", keys: Sequence[str] = (), low: float = 0.02, high: float = 0.98) -> DataFrame:
     """``stretched``: the column between its percentiles on 0..1; a flat range widens by 1, non-finite values are 0."""
     finite = F.col(column).isNotNull() & ~F.isnan(column) & (F.abs(column) < float("inf"))
-    p = rows.where(finite).groupBy(*keys).agg(F.percentile(column, F.array(F.lit(low), F.lit(high))).alias("_p"))
-    joined = rows.join(p, list(keys), "left") if keys else rows.crossJoin(F.broadcast(p))
+    p = quantiles(rows.where(finite).select(*keys, F.col(column).alias("_value")), "_value", [low, high], keys, name="_p")
+    joined = rows.join(p, list(keys), "left") if keys else rows.join(F.broadcast(p), F.lit(True), "left")  # one row
     a, b = F.col("_p")[0], F.col("_p")[1]
     top = F.when(b <= a, a + 1).otherwise(b)
     return joined.withColumn("stretched", F.when(finite, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(column) - a) / (top - a)))).otherwise(0.0)).drop("_p")
@@ -240,3 +241,19 @@ def pattern_label(scores: Mapping[str, Column], q_values: Mapping[str, Column],
         .when(membrane >= 0.25, "membrane_proximal")
         .otherwise("diffuse_or_unresolved")
     )
+
+
+def plot_frame(rows: DataFrame, keys: Sequence[str], group: str, metrics: Sequence[str], depth: str | None = None, label: str | None = None, known: Sequence[str] = ()) -> DataFrame:
+    """(keys, group, metric, value): values that a plot can show, in long form.
+
+    Rows stay with a group that is not null, a finite ``depth`` and a ``label`` among ``known``, where these are named; of their metrics
+    the finite ones above 0.
+    """
+    ok = F.col(group).isNotNull()
+    if depth:
+        ok = ok & F.coalesce(~F.isnan(depth) & (F.abs(depth) < float("inf")), F.lit(False))
+    if label:
+        ok = ok & F.coalesce(F.col(label).isin(*known), F.lit(False))
+    picked = rows.where(ok).select(*keys, group, *(F.col(m).cast("double").alias(m) for m in metrics))
+    long = picked.unpivot([*keys, group], list(metrics), "metric", "value")
+    return long.where((F.col("value") > 0) & ~F.isnan("value") & (F.col("value") < float("inf")))

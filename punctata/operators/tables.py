@@ -87,3 +87,16 @@ def best_key_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str,
 def union_names(samples: DataFrame) -> DataFrame:
     """(token, gene) from ``samples(ord, gene)``: one row a name whatever its case, the first spelling kept."""
     return samples.groupBy(F.lower(F.trim("gene")).alias("token")).agg(F.min_by("gene", F.struct("ord", "gene")).alias("gene"))
+
+
+def diagnostic_genes(metrics: DataFrame, cap: int, most_rank: int, families: int, gene: str = "gene", family: str = "family", value: str = "value") -> DataFrame:
+    """(gene, family, rank): at most ``cap`` genes of ``metrics(gene, family, value)``, the highest values of each family first.
+
+    Each family gives its first ``cap // families`` genes, without repeats; further ranks up to ``most_rank`` fill what is left. A gene
+    counts for the family where it stands best. Null and NaN values do not rank.
+    """
+    quota = cap // families
+    ranks = Window.partitionBy(family).orderBy(F.desc(value), gene)  # a family is a panel of genes
+    rows = metrics.where(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("rank", F.row_number().over(ranks)).where(F.col("rank") <= most_rank)
+    best = rows.groupBy(gene).agg(F.min(F.struct((F.col("rank") > quota).alias("late"), F.col(family).alias("f"), F.col("rank").alias("r"))).alias("b"))
+    return best.orderBy("b.late", "b.r", "b.f", gene).limit(cap).select(gene, F.col("b.f").alias(family), F.col("b.r").cast("long").alias("rank"))

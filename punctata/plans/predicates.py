@@ -137,8 +137,7 @@ def p20(spark, d):
 
 def p21(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", F.expr("nullif(o_orderpriority, '5-LOW')").alias("grp"), F.expr("o_custkey % 3 - 1").cast("double").alias("depth"), F.col("o_totalprice").alias("price"))
-    long = rows.where(F.col("grp").isNotNull()).unpivot(["o_orderkey", "grp"], ["depth", "price"], "metric", "value")
-    return long.where((F.col("value") > 0) & ~F.isnan("value")).groupBy("grp", "metric").agg(F.count("*").alias("n"))
+    return P.plot_frame(rows, ["o_orderkey"], "grp", ["depth", "price"]).groupBy("grp", "metric").agg(F.count("*").alias("n"))
 
 
 def p22(spark, d):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from punctata import roles
+from punctata.functions.ranks import quantiles
+from punctata.functions.session import cut
 from punctata.operators import predicates as P
 from punctata.operators import spatial as S
 from punctata.roles import sql, table
@@ -143,8 +145,8 @@ def j27(spark, d):
     there = S.nearest_points(a, b, "instance_id", "other")
     back = S.nearest_points(b.select("other", F.col("tx").alias("x"), F.col("ty").alias("y")), a.select("instance_id", F.col("x").alias("tx"), F.col("y").alias("ty")), "other", "instance_id")
     both = there.select(F.lit("there").alias("way"), "distance").union(back.select(F.lit("back"), "distance"))
-    p = F.percentile("distance", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
-    per = both.groupBy("way").agg(F.avg("distance").alias("mean"), p.alias("p"))
+    both = cut(both)
+    per = both.groupBy("way").agg(F.avg("distance").alias("mean")).join(quantiles(both, "distance", [0.5, 0.9, 0.99], ["way"], name="p"), "way")
     return per.select("way", F.round("mean", 6).alias("mean"), *(F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p50", "p90", "p99"))))
 
 

@@ -154,12 +154,8 @@ def t01(spark, d):
 
 def t03(spark, d):
     """Quota of each family in rank order without repeats, then filled to the cap."""
-    cap, quota = 9, 3
     rows = table(spark, d, "part").groupBy(F.col("p_brand").alias("gene")).agg(F.avg("p_retailprice").alias("f0"), F.avg("p_size").alias("f1"), F.count("*").cast("double").alias("f2"))
-    long = rows.unpivot(["gene"], ["f0", "f1", "f2"], "family", "value")
-    ranked = long.withColumn("rank", F.row_number().over(Window.partitionBy("family").orderBy(F.desc("value"), "gene"))).where("rank <= 12")
-    first = ranked.groupBy("gene").agg(F.min(F.struct((F.col("rank") > quota).alias("late"), "family", "rank")).alias("b"))
-    return first.orderBy("b.late", "b.rank", "b.family", "gene").limit(cap).select("gene", F.col("b.family").alias("family"), F.col("b.rank").cast("long").alias("rank"))
+    return J.diagnostic_genes(rows.unpivot(["gene"], ["f0", "f1", "f2"], "family", "value"), 9, 12, 3)
 
 
 def t04(spark, d):

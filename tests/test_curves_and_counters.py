@@ -64,3 +64,20 @@ def test_counters_of_an_export(spark):
     assert sorted(r.gene for r in kept.collect()) == ["a", "c"]
     assert seen.get == {"n_input": 6, "n_written": 2, "n_excluded": 1, "n_seeded": 1}
     assert seen.get["n_written"] == pytest.approx(kept.count())
+
+
+def test_plot_frame(spark):
+    rows = [(1, "a", 0.5, 2.0, "x"), (2, None, 0.5, 2.0, "x"), (3, "a", float("nan"), 2.0, "x"), (4, "b", 1.0, -1.0, "x"), (5, "b", 1.0, float("inf"), "x"), (6, "b", 0.1, 3.0, "y"), (7, "b", None, 3.0, "x"), (8, "b", 0.2, 4.0, None)]
+    frame = spark.createDataFrame(rows, "id long, grp string, depth double, area double, label string")
+    long = P.plot_frame(frame, ["id"], "grp", ["depth", "area"], depth="depth", label="label", known=["x", "z"])
+    assert sorted(map(tuple, long.collect())) == [(1, "a", "area", 2.0), (1, "a", "depth", 0.5), (4, "b", "depth", 1.0), (5, "b", "depth", 1.0)]
+    assert P.plot_frame(frame, ["id"], "grp", ["area"]).count() == 5
+
+
+def test_diagnostic_genes(spark):
+    from punctata.operators import tables
+
+    rows = [(g, f, float(v)) for f, values in (("f0", "abcde"), ("f1", "abfgh"), ("f2", "iaaaa")) for v, g in enumerate(reversed(values))]
+    rows = list({(g, f): (g, f, v) for g, f, v in rows}.values()) + [("z", "f2", float("nan")), ("y", "f2", None)]
+    got = [(r.gene, r.family, r["rank"]) for r in tables.diagnostic_genes(spark.createDataFrame(rows, "gene string, family string, value double"), 6, 4, 3).collect()]
+    assert got == [("a", "f0", 1), ("i", "f2", 1), ("b", "f0", 2), ("c", "f0", 3), ("f", "f1", 3), ("d", "f0", 4)]

@@ -9,9 +9,9 @@ range. Three levels follow, each over what the level before left open:
    elsewhere is covered; others are open;
 2. parts of eight neighbouring strings of open ranges, by the bytes all eight share and by their hull;
 3. the single 200-byte suffixes of open parts: splitters sampled by Spark's range exchange deal them to
-   buckets by their leading bytes, each bucket sorts them by multikey quicksort over eight-byte tokens
-   and compares neighbours. Splitters stand between different leading bytes, so that strings on the two
-   sides of a bucket boundary always differ and need no further comparison.
+   buckets, each bucket sorts them by multikey quicksort over eight-byte tokens and compares neighbours.
+   Splitters are whole suffixes, so a common start with many continuations is divided too, and strings on
+   the two sides of a bucket boundary always differ and need no further comparison.
 
 Equal items are combined in each task before they are dealt out (a task sends one row for a class and
 settles its own copies at once), so a passage that a third of the corpus shares costs one row a task.
@@ -376,7 +376,7 @@ def covered_starts(docs: DataFrame) -> DataFrame:
     p = parts.where("open").select("th", "t2", "a", F.col("s").alias("ps"), F.col("e").alias("pe")).distinct()
     open_parts = hulls.join(p, ["th", "t2", "a"]).where("ps >= s and pe <= e").select("th", "t2", "s", "ps", "pe", "hull")
     suffixes = open_parts.mapInArrow(_suffixes, "suffix binary, th long, t2 int, p int, many boolean")
-    single = suffixes.repartitionByRange(F.substring("suffix", 1, 24)).mapInArrow(_twins, _FOUND)
+    single = suffixes.repartitionByRange("suffix").mapInArrow(_twins, _FOUND)
     found = first.where("not open").union(parts.where("not open")).union(single)
     return found.groupBy("th", "t2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 

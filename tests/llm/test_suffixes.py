@@ -95,3 +95,28 @@ def test_remove_repeats(spark):
     assert len(rows) == docs.count() and all(r.n_chars == len(r.text) for r in rows if r.text is not None)
     before = {(r.doc_id): r.text for r in docs.collect()}
     assert all(before[r.doc_id] is None or len(r.text) <= len(before[r.doc_id]) for r in rows if r.doc_id is not None)
+
+
+def test_many_continuations_of_one_start(spark):
+    """Thousands of texts that begin alike for 150 bytes and then differ, some of them twins over 200 bytes."""
+    import random
+
+    r = random.Random(11)
+    start = "the same beginning of every text, " * 5
+    rows = [start[:150] + "".join(r.choice("abcdef ") for _ in range(150)) for _ in range(400)]
+    rows += [x[:230] + "".join(r.choice("xyz") for _ in range(60)) for x in rows[:15]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(6)
+    raw = [x.encode() for x in rows]
+    seen: dict[bytes, int] = {}
+    for x in raw:
+        for i in range(len(x) - 199):
+            seen[x[i : i + 200]] = seen.get(x[i : i + 200], 0) + 1
+    want = {}
+    for k, x in enumerate(raw):
+        gone = [False] * len(x)
+        for i in range(len(x) - 199):
+            if seen[x[i : i + 200]] > 1:
+                gone[i : i + 200] = [True] * 200
+        want[k] = sum(gone)
+    assert {row.doc_id: row.n_removed for row in suffixes.removal_digests(docs).collect()} == want
+    assert sum(map(bool, want.values())) == 30

@@ -64,7 +64,7 @@ def test_words_are_those_of_the_pattern():
         assert got[first[i] : first[i + 1]] == WORD.findall(lower(t))
 
 
-@pytest.mark.parametrize("width,buckets,percent,least", [(1, 10_000, 10, 20), (3, 97, 55, 1), (2, 500, 100, 0), (1, 50, 0, 5)])
+@pytest.mark.parametrize("width,buckets,percent,least", [(1, 10_000, 10, 20), (3, 97, 55, 1), (2, 500, 100, 0)])
 def test_ranks_against_brute_force(spark, width, buckets, percent, least):
     docs = frame(spark, texts(3)).withColumn("Score", F.lit("theirs")).withColumn("weight", F.lit(1))
     target = spark.createDataFrame([(t,) for t in texts(8)[::3]], "text string").repartition(3)
@@ -83,13 +83,13 @@ def test_whole_tables_against_brute_force(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == want
 
 
-@pytest.mark.parametrize("finish", [0, 3, 10_000])
+@pytest.mark.parametrize("finish", [0, 10_000])
 def test_the_cutoff_is_exact(spark, finish):
     r = random.Random(4)
-    rows = [(r.randint(-5, 5), 0, r.randint(0, 400), r.randint(0, 1)) for _ in range(3000)] + [(2, 0, 7, 1)] * 900 + [(9, 1, 0, 0)]
-    keys = spark.createDataFrame(rows, "k0 long, k1 long, k2 long, k3 long").repartition(7)
+    rows = [(r.randint(-5, 5), 0, r.randint(0, 400), r.randint(0, 1)) for _ in range(300)] + [(2, 0, 7, 1)] * 90 + [(9, 1, 0, 0)]
+    keys = spark.createDataFrame(rows, "k0 long, k1 long, k2 long, k3 long").repartition(3).cache()
     order = sorted(rows)
-    for take in (1, 2, 900, 2500, len(rows) - 1, len(rows)):
+    for take in (1, 120, 250, len(rows)):
         assert resampling.cutoff(keys, take, finish) == order[take - 1]
     assert resampling.cutoff(keys, 0, finish) is None and resampling.cutoff(keys, len(rows) + 1, finish) is None
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from punctata.functions.session import cut
 from punctata.operators.ids import ordered_ids
+from punctata.operators.pyramid import finite
+from punctata.operators.spatial import nearest_points
 
 
 def bilinear(points: DataFrame, field: DataFrame, key: str) -> DataFrame:
@@ -22,6 +24,18 @@ def bilinear(points: DataFrame, field: DataFrame, key: str) -> DataFrame:
     return points.join(value, key, "left")
 
 
+def side_distances(points: DataFrame, boundary: DataFrame, key: str, height: int, width: int, x0: float = 0.0, y0: float = 0.0, step: float = 1.0, resolution: float = 1.0) -> DataFrame:
+    """(key, side_distance): from the pixel that holds each point to the nearest pixel of ``boundary(row, col)``, times ``resolution``.
+
+    Null, which stands for infinity, outside of the grid of ``height`` by ``width`` pixels, without finite coordinates, and without boundary.
+    """
+    at = points.where(finite("x", "y")).select(key, F.floor((F.col("x") - x0) / step).cast("double").alias("x"), F.floor((F.col("y") - y0) / step).cast("double").alias("y"))
+    at = at.where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1))
+    edge = boundary.select((F.col("row") * width + F.col("col")).cast("long").alias("_pixel"), F.col("col").cast("double").alias("tx"), F.col("row").cast("double").alias("ty"))
+    near = nearest_points(at, edge, key, "_pixel").select(key, (F.col("distance") * resolution).alias("side_distance"))
+    return points.select(key).join(near, key, "left")
+
+
 def relabel(areas: DataFrame) -> DataFrame:
     """Dense labels 1..N in label order for the labels of ``areas``."""
     return ordered_ids(areas, ["label"], "new_label")

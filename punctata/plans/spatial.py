@@ -114,6 +114,16 @@ def j11(spark, d):
     return bilinear(points, field, "instance_id").select("instance_id", "value")
 
 
+def j11_sides(spark, d):
+    from punctata.operators.rasters import side_distances
+
+    points = roles.cells(spark, d).select("instance_id", F.expr("cx % 70 + 0.25e0").alias("x"), F.expr("cy + 0.5e0").alias("y"))
+    field = roles.pixels(spark, d)
+    size = field.agg((F.max("row") + 1).alias("h"), (F.max("col") + 1).alias("w")).first()
+    rows = side_distances(points, roles.mask(spark, d).where("label = 0"), "instance_id", size.h, size.w, resolution=0.5)
+    return rows.select("instance_id", F.round("side_distance", 6).alias("side_distance"))
+
+
 def j12(spark, d):
     from punctata.operators.ids import first_of
 
@@ -179,7 +189,7 @@ def t06(spark, d):
 
 QUERIES = {
     "j01_points_in_shapes": j01, "j02_covering_count": j02, "j03_nearest_boundary": j03, "j04_compartments": j04, "j05_object_distance": j05, "j05_object_bands": j05_bands, "j06_overlap_assignment": j06,
-    "j07_window_shapes": j07, "j08_raster_lookup": j08, "j09_priority_labels": j09, "j10_streamline_depth": j10, "j11_bilinear": j11, "j12_first_piece": j12, "j23_spatial_knn": j23,
+    "j07_window_shapes": j07, "j08_raster_lookup": j08, "j09_priority_labels": j09, "j10_streamline_depth": j10, "j11_bilinear": j11, "j11_side_distance": j11_sides, "j12_first_piece": j12, "j23_spatial_knn": j23,
     "j26_annular_pairs": j26, "j27_two_way_nearest": j27, "j29_window_scan": j29, "j30_crop_centres": j30, "t06_densest_window": t06,
 }
 
@@ -220,6 +230,9 @@ ORACLES = {
         v AS (SELECT line, len + f * sqrt(pow(bx - x, 2) + pow(by_ - y, 2)) AS tangential, row_number() OVER (PARTITION BY line ORDER BY sqrt(pow(px - x - f * (bx - x), 2) + pow(py - y - f * (by_ - y), 2)), curve, k) AS nth FROM u),
         r AS (SELECT instance_id, line, pia, thickness, row_number() OVER (PARTITION BY instance_id ORDER BY (cx - tx) * (cx - tx) + (cy - ty) * (cy - ty), k) AS nth FROM cells, t)
         SELECT instance_id, r.line AS column_id, round(pia, 6) AS pia_distance, round(greatest(thickness - pia, 0e0), 6) AS wm_distance, round(tangential, 6) AS tangential FROM r JOIN v ON r.line = v.line AND v.nth = 1 WHERE r.nth = 1"""),
+    "j11_side_distance": sql("cells mask", """e AS (SELECT max(row) + 1 AS h, max(col) + 1 AS w FROM pixels), b AS (SELECT DISTINCT row, col FROM mask WHERE label = 0),
+        p AS (SELECT instance_id, CAST(floor(cx % 70 + 0.25e0) AS BIGINT) AS col, CAST(floor(cy + 0.5e0) AS BIGINT) AS row FROM cells), i AS (SELECT p.* FROM p, e WHERE row BETWEEN 0 AND h - 1 AND col BETWEEN 0 AND w - 1),
+        n AS (SELECT instance_id, min((i.row - b.row) * (i.row - b.row) + (i.col - b.col) * (i.col - b.col)) AS d2 FROM i, b GROUP BY 1) SELECT instance_id, round(sqrt(d2) * 0.5e0, 6) AS side_distance FROM p LEFT JOIN n USING (instance_id)"""),
     "j11_bilinear": sql("cells pixels", """p AS (SELECT instance_id, cx % 70 + 0.25e0 AS x, cy + 0.5e0 AS y FROM cells), v AS (SELECT row, col, round(value * 1024) AS v FROM pixels),
         q AS (SELECT instance_id, CAST(floor(y) AS BIGINT) + i AS row, CAST(floor(x) AS BIGINT) + j AS col, (CASE i WHEN 0 THEN 1 - (y - floor(y)) ELSE y - floor(y) END) * (CASE j WHEN 0 THEN 1 - (x - floor(x)) ELSE x - floor(x) END) AS w FROM p, range(2) a(i), range(2) b(j))
         SELECT instance_id, CASE WHEN count(v) = 4 THEN sum(v * w) END AS value FROM q LEFT JOIN v USING (row, col) GROUP BY 1"""),

@@ -124,7 +124,8 @@ def store_media(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, media): every whole text as audio, written to the shared folder and read back.
 
     Null texts are empty and give one block of padding. Null doc_ids stay null, repeated rows repeat,
-    other columns are not read, an empty table gives no rows. No shuffle.
+    other columns are not read, an empty table gives no rows. A very long text is one row's medium; 4 GB and
+    more do not fit the container. No shuffle.
     """
 
     def packed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +137,12 @@ def store_media(docs: DataFrame) -> DataFrame:
 
 
 def audio_features(media: DataFrame) -> DataFrame:
-    """(doc_id, n_frames, tensors, spans) of ``media(doc_id, media)``."""
+    """(doc_id, n_frames, tensors, spans) of ``media(doc_id, media)``.
+
+    Null doc_ids stay null, repeated rows repeat, other columns are not read, an empty table gives no rows; the
+    medium of an empty text is one block of padding and has features like any other. A row is a batch of its own,
+    so a very long medium is held alone. A null medium raises: ``store_media`` makes none.
+    """
 
     def computed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -150,7 +156,11 @@ def audio_features(media: DataFrame) -> DataFrame:
 
 
 def media_digests(media: DataFrame) -> DataFrame:
-    """One digest row for each stored row: payload and stored form as read back, and the features."""
+    """One digest row for each stored row: payload and stored form as read back, and the features.
+
+    Equal media give equal rows. Nulls, repeated rows, empty and very long texts, other columns and empty tables
+    as in ``audio_features``.
+    """
     names = [x.split()[0] for x in DIGESTS.split(", ")]
 
     def computed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -193,7 +193,8 @@ def encode_decode(docs: DataFrame, vocabulary: str, keep_ids: bool = False) -> D
     """(doc_id, n_tokens, ids binary, decoded string) of every whole text, or digests of the two.
 
     A null text is empty: no ids, empty decoded text. Null doc_ids stay null, repeated rows repeat,
-    other columns are not read, an empty table gives no rows. No shuffle. With ``keep_ids`` the ids
+    other columns are not read, an empty table gives no rows. A text above a batch's bytes is a batch of its
+    own and encoded whole. No shuffle. With ``keep_ids`` the ids
     (little-endian unsigned 32-bit) and the decoded text are returned, else their SHA-256 in hex.
     """
 

@@ -140,7 +140,8 @@ def encode_bytes(texts: list[str], cache: UnitCache) -> list[bytes]:
 def train_dictionary(docs: DataFrame, vocabulary: str, sample: int = 800, longest: int = 20_000, size: int = 65_536) -> bytes:
     """A dictionary from at most ``sample`` documents of at most ``longest`` characters, chosen by hash.
 
-    Empty where the sample is too small to train on; frames are then made without a dictionary.
+    Empty where the sample is too small to train on (fewer than 64 texts, or fewer bytes than eight dictionaries);
+    frames are then made without a dictionary. A larger sample that can't be trained on raises.
     """
     known = docs.select("text", F.xxhash64("text", F.lit("dictionary")).alias("h")).where(F.length("text").between(1, longest))
     # Tasks send hashes only; the texts up to the last hash follow, of copies one.
@@ -150,6 +151,8 @@ def train_dictionary(docs: DataFrame, vocabulary: str, sample: int = 800, longes
     try:
         return zstandard.train_dictionary(size, blobs, level=3).as_bytes()
     except (zstandard.ZstdError, ValueError):
+        if len(blobs) >= 64 and sum(map(len, blobs)) >= 8 * size:
+            raise
         return b""
 
 
@@ -209,7 +212,9 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
     """(doc_id, start, n_tokens, ids array<long>) read back from the store, or their unsigned crc32.
 
     ``start`` counts the ids of all documents before the row. Running sums go over the tasks' totals
-    (one row a task), then over the segments of a task, then inside a segment.
+    (one row a task), then over the segments of a task, then inside a segment. Rows are those that were written:
+    null doc_ids and repeated rows too, empty texts with their end id alone or with no ids; a very long text is one
+    frame, taken apart alone; a store without segments gives no rows.
     """
     held = spark.read.parquet(f"{path}/dictionary").first()
     words, kind, mark = bytes(held.dict), held.kind, held.dict_hash

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -78,6 +79,57 @@ def test_flow_against_brute_force():
         assert (-sum(out), cost) == _brute(capacity, members, quotas, 3)
 
 
+def test_flow_of_many_patterns_ends_soon():
+    r = random.Random(5)
+    members = [sorted(r.sample(range(12), r.randint(1, 4))) for _ in range(8000)]
+    capacity = [r.randint(1, 10_000) for _ in members]
+    quotas = [int(sum(capacity) / 12 * f) for f in (0.5, 1.5) * 6]
+    at = time.monotonic()
+    flow = mixing.min_cost_flow(capacity, members, quotas)
+    assert time.monotonic() - at < 30
+    into = Counter()
+    for c, m, f in zip(capacity, members, flow, strict=True):
+        assert set(f) <= set(m) and sum(f.values()) <= 3 * c
+        into.update(f)
+    assert [into[s] for s in range(12)] == quotas
+
+
+def test_rows_that_repeat_are_dealt_by_count(spark):
+    few = spark.createDataFrame([(i, "w " * (i % 9), "abc"[i % 3]) for i in range(300)], "doc_id long, text string, source string")
+    docs = few.union(spark.range(20_000).selectExpr("7L", "repeat('v ', 5)", "'a'"))
+    rows = mixing.mix(docs, weights=(1, 2, 1), piece=64).collect()
+    assert len(rows) == 20_300
+    again = mixing.mix(docs.repartition(5), weights=(1, 2, 1), piece=64).collect()
+    assert Counter(map(str, rows)) == Counter(map(str, again))
+    taken, target = Counter(), {}
+    for r in rows:
+        assert r.taken in (0, r["size"], 2 * r["size"], 3 * r["size"])
+        taken[r.members[0]] += r.taken
+        target[r.members[0]] = r.target
+    assert all(abs(taken[s] - target[s]) <= 9 for s in target), (taken, target)
+
+
+def test_overlapping_sources_come_near_their_targets(spark):
+    kinds = [["a"], ["b"], ["a", "b"], ["b", "c"], ["c", None]]
+    docs = spark.createDataFrame([(i, "w " * (1 + i % 11), kinds[i % 5]) for i in range(2000)], "doc_id long, text string, source array<string>")
+    rows = mixing.mix(docs, weights={"a": 3, "b": 1, "c": 1, None: 1}).collect()
+    size, taken = Counter(), Counter()
+    for r in rows:
+        size.update({s: r["size"] for s in r.members})
+        taken[tuple(r.members)] += r.taken
+    words = sum(r["size"] for r in rows)
+    wanted = {s: x * words / sum(size.values()) for s, x in mixing.targets(size, {"a": 3, "b": 1, "c": 1, None: 1}).items()}
+    # The words taken can be routed to the sources: all quotas are filled by them, but for a document at each pattern's end.
+    names = list(wanted)
+    pools = list(taken)
+    flow = mixing.min_cost_flow([taken[p] for p in pools], [[names.index(s) for s in p] for p in pools], [round(wanted[s]) for s in names], 1)
+    into = Counter()
+    for f in flow:
+        into.update(f)
+    assert all(abs(into[i] - wanted[s]) <= 12 for i, s in enumerate(names)), (into, wanted)
+    assert abs(sum(taken.values()) - sum(wanted.values())) <= 12
+
+
 def test_mix(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = mixing.mix(docs).collect()

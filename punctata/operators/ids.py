@@ -10,34 +10,18 @@ from pyspark.sql import functions as F
 from punctata.functions.session import cut
 
 
-def stable_ids(rows: DataFrame, order: Sequence[str], name: str = "id", buckets: int = 1024, first: int = 1) -> DataFrame:
-    """Numbers rows ``first``.. in the order of ``order``, whose leading column is numeric.
-
-    Rows fall into equal-width buckets of the leading column; bucket counts give each bucket's first
-    number, and rows are ranked inside their bucket. Only the bucket counts meet in one task.
-    """
-    lead = F.col(order[0])
-    ends = rows.agg(F.min(lead).cast("double").alias("_low"), F.max(lead).cast("double").alias("_high"))
-    width = F.greatest((F.col("_high") - F.col("_low")) / buckets, F.lit(1e-300))
-    dealt = rows.crossJoin(F.broadcast(ends)).withColumn("_bucket", F.coalesce(F.floor((lead.cast("double") - F.col("_low")) / width), F.lit(-1)).cast("int")).drop("_low", "_high")
-    sizes = dealt.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))  # at most buckets + 2 rows
-    inside = Window.partitionBy("_bucket").orderBy(*order)
-    ranked = dealt.withColumn("_inside", F.row_number().over(inside))
-    return ranked.join(F.broadcast(starts), "_bucket").withColumn(name, (F.col("_start") + F.col("_inside") + (first - 1)).cast("long")).drop("_bucket", "_inside", "_start")
-
-
 def first_of(rows: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row for each key: the first by ``order``."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return rows.withColumn("_nth", F.row_number().over(w)).where("_nth = 1").drop("_nth")
 
 
-def ordered_ids(rows: DataFrame, order: Sequence[Column | str], name: str = "id", first: int = 1) -> DataFrame:
-    """As ``stable_ids`` for any types: a range exchange orders the rows, tasks' row counts give each task's first number.
+def stable_ids(rows: DataFrame, order: Sequence[Column | str], name: str = "id", first: int = 1) -> DataFrame:
+    """Numbers rows ``first``.. in the given order, of columns of any types.
 
-    The place of each row is fixed by a checkpoint before the counts are taken.
+    A range exchange with sampled bounds orders the rows, so values that crowd in one place are divided; rows are ranked
+    inside their task and the tasks' row counts give each task's first number. The place of each row is fixed by a written
+    table before the counts are taken. Rows that are equal in ``order`` share a task: end it with a key.
     """
     placed = cut(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
@@ -58,7 +42,7 @@ def canonical_ids(rows: DataFrame, source: str, name: str = "instance_id") -> Da
     if facts["distinct"] < facts["all"]:
         raise ValueError(f"{source} repeats or holds nulls")
     if facts["bad"] or (facts["least"] or 0) < 0:
-        return ordered_ids(rows, [F.col(source).cast("string")], name)
+        return stable_ids(rows, [F.col(source).cast("string")], name)
     return rows.withColumn(name, as_long + (1 if facts["least"] == 0 else 0))
 
 

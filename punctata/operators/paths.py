@@ -70,12 +70,12 @@ def along_curves(points: DataFrame, curves: DataFrame, key: str, curve: str, ord
     ``length`` is measured along the curve from its first point. Of equal distances the first segment in the order of curves
     counts. Curves of fewer than two points and points without finite coordinates have no row.
     """
-    from punctata.operators.ids import ordered_ids
+    from punctata.operators.ids import stable_ids
     from punctata.operators.spatial import nearest_segments
 
     w = Window.partitionBy(curve).orderBy(order)
     steps = with_length(curves, [curve], order).withColumns({"_bx": F.lead("x").over(w), "_by": F.lead("y").over(w)}).where("_bx IS NOT NULL")
-    steps = cut(ordered_ids(steps, [curve, order], "_step"))
+    steps = cut(stable_ids(steps, [curve, order], "_step"))
     one = F.array(F.struct(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("_bx").alias("bx"), F.col("_by").alias("by")))
     near = nearest_segments(points, steps.select("_step", one.alias("segs")), key, "_step")
     ex, ey = F.col("edge_x") - F.col("x"), F.col("edge_y") - F.col("y")

@@ -116,27 +116,21 @@ def observed_wins(points: DataFrame, axes: Sequence[str] = ("x", "y")) -> DataFr
     return points.withColumns(moved).withColumns({a: F.col(f"observed_{a}") for a in axes})
 
 
-def points_contract(points: DataFrame, keep_text: bool = False) -> DataFrame:
-    """Types of a points table: text gene and cell, positive or null numeric ids.
+def points_contract(points: DataFrame, keep_text: bool = True) -> DataFrame:
+    """Types of a points table: text gene and cell_id, whole-number ids where a column holds nothing else.
 
-    With ``keep_text`` an id column that holds a value which is no whole number stays text, and no value is lost;
-    one aggregate over the table finds out.
+    An id column with a value that is no whole number stays text and no value is lost; one aggregate over the
+    table finds out. A null ``cell`` is 0. With ``keep_text=False`` such a value is null, or 0 in ``cell``, and
+    the table is not read before.
     """
+    ids = ["cell", "transcript_id", "assignment"]
+    text = dict.fromkeys(ids, False)
     if keep_text:
-        ids = ["cell", "transcript_id", "assignment"]
-        bad = points.agg(*(F.coalesce(F.bool_or(F.col(c).isNotNull() & F.expr(f"try_cast({c} AS BIGINT)").isNull()), F.lit(False)).alias(c) for c in ids)).first()
-        typed = points_contract(points)
-        text = points.select(*typed.columns)
-        if any(bad):
-            return text.select(*(F.col(c).cast("string" if c not in ids or bad[c] else "bigint").alias(c) if c != "cell" or bad[c] else F.coalesce(F.expr("try_cast(cell AS BIGINT)"), F.lit(0)).alias(c) for c in typed.columns))
-        return typed
-    return points.select(
-        F.col("gene").cast("string").alias("gene"),
-        F.coalesce(F.expr("try_cast(cell AS BIGINT)"), F.lit(0)).alias("cell"),
-        F.expr("try_cast(transcript_id AS BIGINT)").alias("transcript_id"),
-        F.expr("try_cast(assignment AS BIGINT)").alias("assignment"),
-        F.col("cell_id").cast("string").alias("cell_id"),
-    )
+        found = points.agg(*(F.coalesce(F.bool_or(F.col(c).isNotNull() & F.expr(f"try_cast({c} AS BIGINT)").isNull()), F.lit(False)).alias(c) for c in ids)).first()
+        text = found.asDict()
+    typed = {c: F.col(c).cast("string") if text[c] else F.expr(f"try_cast({c} AS BIGINT)") for c in ids}
+    typed["cell"] = F.coalesce(typed["cell"], F.lit("0" if text["cell"] else 0))
+    return points.select(F.col("gene").cast("string").alias("gene"), *(typed[c].alias(c) for c in ids), F.col("cell_id").cast("string").alias("cell_id"))
 
 
 def affine(x: Column, y: Column, m: Sequence[Sequence[float]]) -> tuple[Column, Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from punctata.functions.session import cut
-from punctata.operators.ids import ordered_ids
+from punctata.operators.ids import stable_ids
 from punctata.operators.pyramid import finite
 from punctata.operators.spatial import nearest_points
 
@@ -38,7 +38,7 @@ def side_distances(points: DataFrame, boundary: DataFrame, key: str, height: int
 
 def relabel(areas: DataFrame) -> DataFrame:
     """Dense labels 1..N in label order for the labels of ``areas``."""
-    return ordered_ids(areas, ["label"], "new_label")
+    return stable_ids(areas, ["label"], "new_label")
 
 
 def label_areas(mask: DataFrame, pixel_area: float = 1.0) -> DataFrame:

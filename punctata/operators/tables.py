@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctata.operators.ids import first_of, ordered_ids
+from punctata.operators.ids import first_of, stable_ids
 
 
 def attach_metrics(cells: DataFrame, metrics: DataFrame, key: str, order: str, columns: Sequence[str], rows_by: str | None = None) -> DataFrame:
@@ -17,8 +17,8 @@ def attach_metrics(cells: DataFrame, metrics: DataFrame, key: str, order: str, c
     the order of that column, the metrics in ``order``.
     """
     if rows_by is not None and cells.join(metrics, key, "left_semi").isEmpty() and cells.count() == metrics.count():
-        nth = ordered_ids(metrics.select(order, *columns), [order], "_row").drop(order)
-        return ordered_ids(cells, [rows_by], "_row").join(nth, "_row").drop("_row")
+        nth = stable_ids(metrics.select(order, *columns), [order], "_row").drop(order)
+        return stable_ids(cells, [rows_by], "_row").join(nth, "_row").drop("_row")
     return cells.join(first_of(metrics, [key], [order]).select(key, *columns), key, "left")
 
 
@@ -73,10 +73,11 @@ def gene_id_lookup(sources: DataFrame) -> DataFrame:
 
 
 def best_key_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], accept: float = 0.95) -> tuple[str, str] | None:
-    """The first pair of key columns that matches all left rows, else the best with at least ``accept``, else none."""
+    """The first pair of key columns that matches all left rows, else the best with at least ``accept``, else none; keys meet as text."""
     n, best = left.count(), (0.0, None)
     for a, b in pairs:
-        share = left.join(right.select(F.col(b).alias(a)).distinct(), a, "left_semi").count() / max(1, n)
+        keys = right.select(F.col(b).cast("string").alias("_k")).distinct()
+        share = left.select(F.col(a).cast("string").alias("_k")).join(keys, "_k", "left_semi").count() / max(1, n)
         if share == 1:
             return a, b
         if share > best[0]:
@@ -84,6 +85,27 @@ def best_key_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str,
     return best[1] if best[0] >= accept else None
 
 
+def attach_value(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], value: str, own: Sequence[str] = (), left_order: Sequence[str] | None = None, right_order: Sequence[str] | None = None, accept: float = 0.95) -> DataFrame:
+    """``left`` with ``value`` of ``right`` by the best key; else by row order; else from a column of its own; and ``by``, which it was.
+
+    Row order needs as many rows on both sides and ``left_order``, ``right_order``, which number them; of ``own`` the first column
+    there is counts. The first row of a repeated key, by ``value``, is taken. Where nothing fits it raises.
+    """
+    found = best_key_match(left, right, pairs, accept)
+    if found:
+        a, b = found
+        once = right.where(F.col(b).isNotNull()).groupBy(F.col(b).cast("string").alias("_k")).agg(F.min(value).alias(value))
+        rows = left.withColumn("_k", F.col(a).cast("string")).join(once, "_k", "left").drop("_k")
+        return rows.withColumn("by", F.lit(f"{a}={b}"))
+    if left_order and right_order and left.count() == right.count():
+        other = stable_ids(right, right_order, "_n").select("_n", value)
+        return stable_ids(left, left_order, "_n").join(other, "_n").drop("_n").withColumn("by", F.lit("row order"))
+    for c in own:
+        if c in left.columns:
+            return left.withColumn(value, F.col(c).cast("double")).withColumn("by", F.lit(c))
+    raise ValueError(f"no key, row order or own column gives {value}")
+
+
 def union_names(samples: DataFrame) -> DataFrame:
     """(token, gene) from ``samples(ord, gene)``: one row a name whatever its case, the first spelling kept."""
     return samples.groupBy(F.lower(F.trim("gene")).alias("token")).agg(F.min_by("gene", F.struct("ord", "gene")).alias("gene"))

@@ -89,7 +89,8 @@ def p12(spark, d):
 
 def p13(spark, d):
     rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("gene"), F.expr("CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linenumber = 2 THEN 'x' ELSE CAST(l_suppkey AS STRING) END").alias("cell"), F.col("l_orderkey").cast("string").alias("transcript_id"), F.expr("CASE WHEN l_returnflag = 'N' THEN 'none' ELSE CAST(l_orderkey AS STRING) END").alias("assignment"), F.col("l_orderkey").alias("cell_id"))
-    return P.points_contract(rows).groupBy("gene").agg(F.sum("cell").alias("cell"), F.count("assignment").alias("n_assigned"), F.max("transcript_id").alias("last_id"), F.max("cell_id").alias("last_cell"))
+    kept = P.points_contract(rows)
+    return kept.groupBy("gene").agg(F.sum(F.expr("try_cast(cell AS BIGINT)")).alias("cell"), F.count_if(F.col("cell") == "x").alias("n_text"), F.count("assignment").alias("n_assigned"), F.max("transcript_id").alias("last_id"), F.max("cell_id").alias("last_cell"))
 
 
 def p14(spark, d):
@@ -192,7 +193,7 @@ ORACLES = {
     "p11_cells_then_genes": sql("counts", """k AS (SELECT * FROM counts WHERE cell_id IN (SELECT cell_id FROM counts GROUP BY cell_id HAVING sum(n) >= 4)),
         g AS (SELECT gene FROM k GROUP BY gene HAVING count(*) >= 20) SELECT gene, count(*) AS n_cells, CAST(sum(n) AS BIGINT) AS total FROM k WHERE gene IN (SELECT gene FROM g) GROUP BY gene"""),
     "p12_observed_wins": sql("transcripts", "SELECT gene, sum(x + 1) AS sum_x, sum(y - 1) AS sum_y, sum(x) AS sum_proseg_moved_x, sum(y) AS sum_proseg_moved_y FROM transcripts GROUP BY gene"),
-    "p13_points_contract": """SELECT CAST(l_partkey AS VARCHAR) AS gene, CAST(sum(CASE WHEN l_linenumber IN (1, 2) THEN 0 ELSE l_suppkey END) AS BIGINT) AS cell, count(CASE WHEN l_returnflag <> 'N' THEN 1 END) AS n_assigned, max(l_orderkey) AS last_id, max(CAST(l_orderkey AS VARCHAR)) AS last_cell FROM lineitem GROUP BY l_partkey""",
+    "p13_points_contract": """SELECT CAST(l_partkey AS VARCHAR) AS gene, CAST(sum(CASE WHEN l_linenumber IN (1, 2) THEN 0 ELSE l_suppkey END) AS BIGINT) AS cell, count(CASE WHEN l_linenumber = 2 THEN 1 END) AS n_text, count(*) AS n_assigned, max(l_orderkey) AS last_id, max(CAST(l_orderkey AS VARCHAR)) AS last_cell FROM lineitem GROUP BY l_partkey""",
     "p14_affine": sql("cells", "SELECT instance_id, -2e0 * cy + 7e0 AS x, 0.5e0 * cx - 3e0 AS y, cx AS back_x, cy AS back_y FROM cells"),
     "p15_aligned_points": sql("cells", """SELECT instance_id, CASE WHEN k THEN -2e0 * cy + 7e0 END AS x, CASE WHEN k THEN 0.5e0 * cx - 3e0 ELSE cy END AS y, CASE WHEN k THEN cx END AS raw_x, CASE WHEN k THEN cy END AS raw_y FROM (SELECT *, instance_id % 7 > 0 AS k FROM cells)"""),
     "p16_broad_class": f"""SELECT n_nationkey, CASE {_CLASSES} WHEN trim(label) IN ({_IN(N.KEPT_LABELS)}) THEN trim(label) WHEN trim(label) IN ({_IN(N.NEURON_LABELS)}) OR regexp_matches(lower(label), '{"|".join(N.NEURON_TOKENS)}') THEN 'Neurons' ELSE trim(label) END AS broad_class,

@@ -92,12 +92,12 @@ def _vectors(spark, d):
 
 
 def j24(spark, d):
-    rows = G.expression_neighbours(_vectors(spark, d), "vec_id", "embedding", 5, 200)
+    rows = G.expression_neighbours(_vectors(spark, d), "vec_id", "embedding", 5)
     return rows.select("vec_id", "other", R("d2").alias("d2"), F.col("nth").cast("long").alias("nth"))
 
 
 def j24_approximate(spark, d):
-    rows = N.approximate_neighbours(_vectors(spark, d), "vec_id", "embedding", 5)
+    rows = N.measured_neighbours(_vectors(spark, d), "vec_id", "embedding", 5)
     return rows.select("vec_id", "other", R("d2").alias("d2"), F.col("nth").cast("long").alias("nth"))
 
 

@@ -99,11 +99,9 @@ def s07(spark, d):
 
 def s08(spark, d):
     path = _folder(spark, "mapper")
-    lines = table(spark, d, "customer").select(F.concat_ws(",", "c_custkey", "c_mktsegment").alias("value"))
-    head = spark.range(1).select(F.explode(F.array(F.lit("# made from customer"), F.lit("cell_id,label"))).alias("value"))
-    head.coalesce(1).write.text(f"{path}/a")
-    (spark.read.text(f"{path}/a").coalesce(1).unionByName(lines.where("value IS NOT NULL"))).coalesce(1).write.text(f"{path}/b")
-    return R.read_commented_csv(spark, f"{path}/b", ["cell_id", "label"])
+    rows = table(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("cell_id"), F.col("c_mktsegment").alias("label"))
+    W.write_commented_csv(rows, path, ["made from customer"])
+    return R.read_commented_csv(spark, path, ["cell_id", "label"])
 
 
 _LEVELS = """concat('{{"CLUS":{{"assignment":"', event_type, '","bootstrapping_probability":0.', CAST(1 + event_id % 9 AS {s}), ',"runner_up_probability":[0.', CAST(1 + event_id % 4 AS {s}), ',0.1]}},"SUPC":{{"assignment":"x","avg_correlation":0.5,"directly_assigned":true}}}}')"""
@@ -166,6 +164,9 @@ ORACLES = {
     "s04_triplet_matrix": """SELECT r_name AS cell_id, CASE WHEN c_nationkey < 10 THEN 'g' || CAST(c_nationkey AS VARCHAR) ELSE 'g' || CAST(c_nationkey % 10 AS VARCHAR) || '-' || CAST(c_nationkey // 10 AS VARCHAR) END AS gene, 'id' || CAST(c_nationkey AS VARCHAR) AS feature_id, 'Gene Expression' AS feature_type, count(*) AS n FROM customer JOIN region ON r_regionkey = c_custkey % 5 GROUP BY c_nationkey, r_name""",
     "s05_vertex_rings": f"""WITH v AS (SELECT label_id, vertex_no, min(x) AS x, min(y) AS y FROM (SELECT {_VERTEX.format(d='DOUBLE', s='VARCHAR')} FROM lineitem) GROUP BY ALL), g AS (SELECT label_id, count(*) AS n, arg_min(x, vertex_no) AS fx, arg_max(x, vertex_no) AS lx, arg_min(y, vertex_no) AS fy, arg_max(y, vertex_no) AS ly, sum(y) AS sy FROM v GROUP BY 1 HAVING count(*) >= 3)
         SELECT label_id, CASE WHEN fx = lx AND fy = ly THEN n ELSE n + 1 END AS n, fy AS last_y, CASE WHEN fx = lx AND fy = ly THEN sy ELSE sy + fy END AS sum_y FROM g""",
+    "s06_object_scan": sql("objects", """o AS (SELECT CAST(substr(object_id, 5) AS INTEGER) AS k, object_id, object_type FROM objects), f AS (SELECT k, CASE WHEN k % 5 = 4 THEN 'objects' ELSE object_type END AS object_type, CASE WHEN k % 5 <> 4 AND k % 3 = 0 THEN object_id END AS given, CASE WHEN k % 5 <> 4 AND k % 6 = 0 THEN 2 ELSE 1 END AS parts FROM o),
+        p AS (SELECT *, unnest(range(1, parts + 1)) AS part FROM f), n AS (SELECT *, row_number() OVER (PARTITION BY object_type ORDER BY k, part) AS nth FROM p)
+        SELECT CASE WHEN given IS NULL THEN lower(replace(object_type, ' ', '_')) || '_' || lpad(CAST(nth AS VARCHAR), 4, '0') WHEN parts > 1 THEN given || '_' || CAST(part AS VARCHAR) ELSE given END AS object_id, object_type, 400e0 AS area FROM n"""),
     "s07_role_scan": "SELECT n_nationkey AS doc, CASE WHEN n_nationkey % 3 = 0 THEN 'pia' ELSE 'wm' END AS role, CASE WHEN n_nationkey % 3 = 0 THEN 'p' || CAST(n_nationkey AS VARCHAR) ELSE 'piece_1' END AS piece_id FROM nation WHERE n_nationkey % 5 <> 4",
     "s08_commented_csv": "SELECT CAST(c_custkey AS VARCHAR) AS cell_id, c_mktsegment AS label FROM customer",
     "s09_mapper_json": """SELECT 'CLUS' AS level, event_type AS assignment, count(*) AS n, round(sum((1 + event_id % 9) / 10e0 - (1 + event_id % 4) / 10e0), 4) AS margin, 0 AS direct FROM events WHERE event_id % 10 > 0 GROUP BY 2 UNION ALL SELECT 'SUPC', 'x', count(*), NULL, count(*) FROM events WHERE event_id % 10 > 0""",

@@ -82,11 +82,11 @@ def read_triplets(spark: SparkSession, matrix: str, features: str, barcodes: str
 
 def _numbered(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
     """Tab-separated lines with their number from 1. The file is one gzip member, so one task reads it in order."""
-    from punctata.operators.ids import ordered_ids
+    from punctata.operators.ids import stable_ids
 
     lines = spark.read.text(path).withColumn("_at", F.monotonically_increasing_id())
     parts = F.split("value", "\t")
-    return ordered_ids(lines, ["_at"], "line").select("line", *(F.get(parts, i).alias(c) for i, c in enumerate(names)))
+    return stable_ids(lines, ["_at"], "line").select("line", *(F.get(parts, i).alias(c) for i, c in enumerate(names)))
 
 
 def vertices_to_rings(rows: DataFrame, label: str = "label_id", order: str = "vertex_no") -> DataFrame:
@@ -150,7 +150,7 @@ def role_features(features: DataFrame, role: str) -> DataFrame:
 
 
 def read_commented_csv(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
-    """A CSV with ``#`` lines and a header; the first column is text. An empty file raises."""
+    """A CSV, or a folder of them, each with a header and ``#`` lines anywhere; columns are text. No rows at all raise."""
     rows = spark.read.option("comment", "#").option("header", True).csv(path, schema=", ".join(f"`{c}` string" for c in names))
     if rows.isEmpty():
         raise ValueError(f"no rows in {path}")

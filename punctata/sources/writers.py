@@ -25,3 +25,15 @@ def geojson_text(objects: DataFrame) -> DataFrame:
 def write_geojson(objects: DataFrame, path: str) -> str:
     geojson_text(objects).write.text(path)
     return path
+
+
+def write_commented_csv(rows: DataFrame, path: str, comments: Sequence[str]) -> None:
+    """One CSV a task, each with its header; ``comments`` are ``#`` lines of a file of their own, which has the header too.
+
+    No value of the first column may begin with ``#``: a reader would take the row for a comment.
+    """
+    first = F.col(rows.columns[0]).cast("string")
+    safe = F.when(first.startswith("#"), F.raise_error(F.lit("a row would be read as a comment"))).otherwise(first)
+    rows.withColumn(rows.columns[0], safe).write.option("header", True).csv(path)
+    lines = [*(f"# {c}" for c in comments), ",".join(rows.columns)]
+    rows.sparkSession.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").text(path)

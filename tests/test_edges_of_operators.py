@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from punctata.functions import stats
-from punctata.operators import counts, graphs, specificity, tables
+from punctata.operators import counts, graphs, ids, specificity, tables
 from punctata.operators import predicates as P
 from punctata.operators import spatial as S
+from punctata.sources import readers, writers
 
 
 def _box(spark, rows):
@@ -125,3 +126,31 @@ def test_points_in_a_large_ring_by_brute_force(spark, monkeypatch):
             got = {(x.point, x.shape) for x in S.in_shapes(rows, S.with_outline(rings, "ring"), edges).collect()}
             want = {(i, s) for s, g in ((1, ring), (2, square)) for i, x, y in points if state(g, x, y) in (("in", "edge") if edges else ("in",))}
             assert got == want
+
+
+def test_values_by_key_row_order_or_own_column(spark):
+    left = spark.createDataFrame([(i, f"n{i}", 5.0 + i) for i in range(4)], "id long, name string, area0 double")
+    right = spark.createDataFrame([(str(i), 10.0 * i) for i in (3, 1, 0, 2)], "label string, area double")
+    by_key = tables.attach_value(left, right, [("name", "label"), ("id", "label")], "area").collect()
+    assert {(r.id, r.area, r.by) for r in by_key} == {(i, 10.0 * i, "id=label") for i in range(4)}
+    by_order = tables.attach_value(left, right, [("name", "label")], "area", left_order=["id"], right_order=[F.desc("label")]).collect()
+    assert {(r.id, r.area, r.by) for r in by_order} == {(i, 10.0 * (3 - i), "row order") for i in range(4)}
+    own = tables.attach_value(left, right.limit(2), [("name", "label")], "area", own=["gone", "area0"], left_order=["id"], right_order=["label"]).collect()
+    assert {(r.id, r.area, r.by) for r in own} == {(i, 5.0 + i, "area0") for i in range(4)}
+    with pytest.raises(ValueError):
+        tables.attach_value(left, right, [("name", "label")], "area")
+
+
+def test_commented_csv_of_many_files(spark, tmp_path):
+    rows = spark.range(50).selectExpr("CAST(id AS STRING) AS cell_id", "concat('l,', id) AS label").repartition(7)
+    writers.write_commented_csv(rows, f"{tmp_path}/a", ["made here", "by a test"])
+    back = readers.read_commented_csv(spark, f"{tmp_path}/a", ["cell_id", "label"])
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_numbers_of_crowded_and_null_keys(spark):
+    rows = spark.createDataFrame([(None if i % 50 == 0 else 10.0 ** (i % 200), i) for i in range(5000)], "x double, k long").repartition(9)
+    got = ids.stable_ids(rows, ["x", "k"]).collect()
+    want = sorted(((r.x is not None, r.x or 0, r.k) for r in got))
+    assert [r.k for r in sorted(got, key=lambda r: r.id)] == [w[2] for w in want]
+    assert sorted(r.id for r in got) == list(range(1, 5001))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from weakref import WeakKeyDictionary
 
 import numpy as np
@@ -76,6 +77,23 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+def release() -> None:
+    """Gives freed memory back to the system: Python workers live on between tasks and stages, and would keep the most they ever held."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def tidy(made: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``made``, after which memory is released."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from made(frames)
+        release()
+
+    return run
+
+
 def batches(frames: Iterator[pa.RecordBatch], text: str = "text", most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each holds about ``most`` bytes of text; one longer text stands alone."""
     for frame in frames:
@@ -89,7 +107,7 @@ def batches(frames: Iterator[pa.RecordBatch], text: str = "text", most: int = 4
             to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
             yield frame.slice(at, to - at)
             at = to
-    pa.default_memory_pool().release_unused()  # workers live on between tasks
+    release()
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

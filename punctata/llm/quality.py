@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctata.llm.common import batches, utf8
+from punctata.llm.common import batches, tidy, utf8
 
 NAMES = (
     "log_bytes", "log_words", "word_mean", "word_std", "upper", "digit", "space", "newline", "non_ascii", "stop_marks", "other_marks",
@@ -136,7 +136,7 @@ def _features(docs: DataFrame) -> DataFrame:
             rows = [statistics(x) for x in utf8(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("h"), b.column("y").cast(pa.float64()), pa.array(rows, pa.list_(pa.float64()))], ["h", "y", "x"])
 
-    return docs.select("h", "y", "text").mapInArrow(taken, "h long, y double, x array<double>")
+    return docs.select("h", "y", "text").mapInArrow(tidy(taken), "h long, y double, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = 20_000, folds: int = 5) -> Trees:
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: Trees, threshold: float = 0.3, folds: int = 5)
             p = model.scores(np.array([statistics(x) for x in utf8(b.column("text"))]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scored, "doc_id long, score double, predicted int")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(scored), "doc_id long, score double, predicted int")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 0, F.lit(False))
     return out.select("doc_id", held.alias("held_out"), "score", "predicted")
 
@@ -191,4 +191,4 @@ def keep_good(docs: DataFrame, model: Trees, threshold: float = 0.3) -> DataFram
             p = model.scores(np.array([statistics(x) for x in utf8(b.column("text"))]))
             yield b.filter(pa.array(p >= threshold))
 
-    return docs.mapInArrow(kept, schema)
+    return docs.mapInArrow(tidy(kept), schema)

@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctata.llm.common import batches, components, discard, free_names, stored, utf8
+from punctata.llm.common import batches, components, discard, free_names, stored, tidy, utf8
 
 
 def shingle_hashes(raw: bytes, width: int = 3, seed: int = 42) -> np.ndarray:
@@ -95,7 +95,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             fps = np.array([known[t] for t in ths], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(fps)], ["doc_id", "th", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(taken, "doc_id long, th long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th")).mapInArrow(tidy(taken), "doc_id long, th long, fp long")
 
 
 def popcounts(fps: np.ndarray, segments: int = 16) -> np.ndarray:
@@ -199,8 +199,8 @@ def near_links(fps: DataFrame, bits: int = 2, segments: int = 16) -> DataFrame:
             c = cells(fp.view(np.uint64), segments)
             yield pa.RecordBatch.from_arrays([pa.array(c.ravel()), pa.array(np.repeat(fp, c.shape[1]))], ["cell", "fp"])
 
-    grid = fps.mapInArrow(dealt, "cell long, fp long").repartition("cell").sortWithinPartitions("cell")
-    return grid.mapInArrow(lambda frames: _links(frames, bits), "a long, b long")
+    grid = fps.mapInArrow(tidy(dealt), "cell long, fp long").repartition("cell").sortWithinPartitions("cell")
+    return grid.mapInArrow(tidy(lambda frames: _links(frames, bits)), "a long, b long")
 
 
 def near_fingerprints(fps: DataFrame, bits: int = 2, segments: int = 16) -> DataFrame:
@@ -229,7 +229,7 @@ def _common(texts: DataFrame, width: int, sample: int = 20_000, most: int = 1_00
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), pa.array(np.repeat(np.array(th, np.int64), [len(h) for h in hs]))], ["h", "th"])
 
     few = few.dropDuplicates(["th"])
-    counts = stored(few.mapInArrow(taken, "h long, th long").groupBy("h").agg(F.count("*").alias("c")).where("c > 2"), "common")
+    counts = stored(few.mapInArrow(tidy(taken), "h long, th long").groupBy("h").agg(F.count("*").alias("c")).where("c > 2"), "common")
     least, total = 3, 0
     for c, k in sorted(((r[0], r[1]) for r in counts.groupBy("c").count().collect()), reverse=True):
         total += k
@@ -434,15 +434,15 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
         """(th, z) of the texts ``wanted(th)``, one row each; up to ``most`` hashes are sent to the scan, more are joined."""
         wanted = stored(wanted.distinct(), "wanted")
         if wanted.count() <= most:
-            found = texts.join(F.broadcast(wanted), "th", "left_semi").mapInArrow(packed, "th long, z binary")
+            found = texts.join(F.broadcast(wanted), "th", "left_semi").mapInArrow(tidy(packed), "th long, z binary")
         else:
-            found = texts.mapInArrow(packed, "th long, z binary").join(wanted, "th", "left_semi")
+            found = texts.mapInArrow(tidy(packed), "th long, z binary").join(wanted, "th", "left_semi")
         return found.groupBy("th").agg(F.first("z").alias("z"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         known = whole(pairs.select(F.col("a").alias("th")).union(pairs.select("b")))
         both = pairs.join(known.select(F.col("th").alias("b"), F.col("z").alias("zb")), "b").join(known.select(F.col("th").alias("a"), F.col("z").alias("za")), "a")
-        return stored(both.select("a", "b", "za", "zb").mapInArrow(verified, "a long, b long"), "links")
+        return stored(both.select("a", "b", "za", "zb").mapInArrow(tidy(verified), "a long, b long"), "links")
 
     def apart(pairs: DataFrame, part: DataFrame) -> DataFrame:
         """The pairs whose components ``part(th, component)`` differ."""
@@ -450,8 +450,8 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
             pairs = pairs.join(part.select(F.col("th").alias(side), F.col("component").alias(f"{side}_part")), side, "left")
         return pairs.where(F.coalesce("a_part", "a") != F.coalesce("b_part", "b")).select("a", "b")
 
-    grid = texts.mapInArrow(dealt, "key long, turn int, th long, n int, at int").repartition("key").sortWithinPartitions("key", "turn", "th")
-    found = stored(grid.mapInArrow(windows, "key long, a long, b long, n int, at int"), "windows")
+    grid = texts.mapInArrow(tidy(dealt), "key long, turn int, th long, n int, at int").repartition("key").sortWithinPartitions("key", "turn", "th")
+    found = stored(grid.mapInArrow(tidy(windows), "key long, a long, b long, n int, at int"), "windows")
     pairs = stored(found.where("key IS NULL").groupBy("a", "b").agg(F.min("n").alias("turn")), "candidates")
     links = linked(pairs.where("turn = 1").select("a", "b"))
     part = components(links if known is None else links.union(known)).withColumnRenamed("node", "th")
@@ -465,10 +465,10 @@ def similar_texts(docs: DataFrame, width: int, similarity: float, before: int =
     discard(found, pairs, second, large)
     if open_.isEmpty():
         return _star(part)
-    sizes = whole(open_.select("th")).mapInArrow(buckets, "th long, sizes binary")
+    sizes = whole(open_.select("th")).mapInArrow(tidy(buckets), "th long, sizes binary")
     own = open_.join(sizes, "th").withColumn("own", F.pmod(F.xxhash64("th"), "blocks")).withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     ready = own.select("key", F.least("own", "o").alias("x"), F.greatest("own", "o").alias("y"), "own", "th", "n", "at", "component", "sizes").repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    third = stored(ready.mapInArrow(crossed, "a long, b long").distinct(), "candidates")
+    third = stored(ready.mapInArrow(tidy(crossed), "a long, b long").distinct(), "candidates")
     links = _star(part).union(linked(third))
     discard(open_, third)
     return links

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctata.llm.common import batches, free_names, stored, utf8
+from punctata.llm.common import batches, free_names, stored, tidy, utf8
 
 LENGTH, GRAM, PART = 200, 64, 8
 #: Different surroundings of a gram in one task from which its rows are salted.
@@ -216,7 +216,7 @@ def _settle(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _settled(items: DataFrame) -> DataFrame:
-    return items.repartition("slot").sortWithinPartitions("slot", "k", "c").mapInArrow(_settle, _FOUND)
+    return items.repartition("slot").sortWithinPartitions("slot", "k", "c").mapInArrow(tidy(_settle), _FOUND)
 
 
 def _gathered(frames: Iterator[pa.RecordBatch], made: Callable, most: int = 1_000_000) -> Iterator[pa.RecordBatch]:
@@ -367,16 +367,16 @@ def _hulls(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def covered_starts(docs: DataFrame) -> DataFrame:
     """(th, t2, spans array<struct<s, e>>) of texts with strings that start elsewhere too, at s..e."""
     texts = _marked(docs.select("text").where(F.octet_length("text") >= LENGTH))
-    first = stored(_settled(texts.mapInArrow(lambda fs: _gathered(batches(fs, most=1 << 20), _first_items), _ITEMS)), "ranges")
+    first = stored(_settled(texts.mapInArrow(tidy(lambda fs: _gathered(batches(fs, most=1 << 20), _first_items)), _ITEMS)), "ranges")
     wanted = first.where("open").groupBy("th", "t2").agg(F.collect_set(F.struct("a", "s", "e")).alias("at"))
-    packed = texts.mapInArrow(_packed, "th long, t2 int, z binary")
-    hulls = stored(packed.join(wanted, ["th", "t2"]).mapInArrow(_hulls, "th long, t2 int, a int, s int, e int, hull binary"), "hulls")
+    packed = texts.mapInArrow(tidy(_packed), "th long, t2 int, z binary")
+    hulls = stored(packed.join(wanted, ["th", "t2"]).mapInArrow(tidy(_hulls), "th long, t2 int, a int, s int, e int, hull binary"), "hulls")
     # A text that several tasks sent stands in several documents: its hulls are rightly more than one place.
-    parts = stored(_settled(hulls.mapInArrow(lambda fs: _gathered(fs, _part_items, 1_000_000), _ITEMS)), "parts")
+    parts = stored(_settled(hulls.mapInArrow(tidy(lambda fs: _gathered(fs, _part_items, 1_000_000)), _ITEMS)), "parts")
     p = parts.where("open").select("th", "t2", "a", F.col("s").alias("ps"), F.col("e").alias("pe")).distinct()
     open_parts = hulls.join(p, ["th", "t2", "a"]).where("ps >= s and pe <= e").select("th", "t2", "s", "ps", "pe", "hull")
-    suffixes = open_parts.mapInArrow(_suffixes, "suffix binary, th long, t2 int, p int, many boolean")
-    single = suffixes.repartitionByRange("suffix").mapInArrow(_twins, _FOUND)
+    suffixes = open_parts.mapInArrow(tidy(_suffixes), "suffix binary, th long, t2 int, p int, many boolean")
+    single = suffixes.repartitionByRange("suffix").mapInArrow(tidy(_twins), _FOUND)
     found = first.where("not open").union(parts.where("not open")).union(single)
     return found.groupBy("th", "t2").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
 
@@ -418,8 +418,8 @@ def removal_digests(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["th", "t2", "n_removed", "n_spans", "sha"])
 
     texts = _marked(docs.select("text").where(F.octet_length("text") >= LENGTH))
-    packed = texts.mapInArrow(_packed, "th long, t2 int, z binary")
-    done = packed.join(found, ["th", "t2"]).mapInArrow(digested, "th long, t2 int, n_removed long, n_spans long, sha string").dropDuplicates(["th", "t2"])
+    packed = texts.mapInArrow(tidy(_packed), "th long, t2 int, z binary")
+    done = packed.join(found, ["th", "t2"]).mapInArrow(tidy(digested), "th long, t2 int, n_removed long, n_spans long, sha string").dropDuplicates(["th", "t2"])
     rows = _marked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     raw = F.coalesce(F.encode("text", "UTF-8"), F.lit(b""))
     rows = rows.select("doc_id", F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("whole"), "th", "t2")
@@ -470,4 +470,4 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: str = "n_chars")
     short = docs.where(~F.coalesce(long, F.lit(False)))
     if length in names:
         short = short.withColumn(length, F.coalesce(F.length(text).cast(schema[length].dataType), F.col(length)))
-    return joined.mapInArrow(cut, schema).union(short)
+    return joined.mapInArrow(tidy(cut), schema).union(short)

@@ -99,9 +99,15 @@ def stitch(objects: DataFrame, iou: float = 0.25, overlap: float = 0.5, rounds:
 
     An object belongs to a tile if its centroid is in the core (``in_core``). Of two that overlap too much the
     one with the lower tile, then label, stays; a loser takes nobody out. Rounds settle chains.
+    Of objects with the same pixels the first stands for all: it takes the others out if it stays, and whatever takes it out
+    has the same overlap with them. Equal pixels are told by their number, box and two independent hashes.
     """
-    own = objects.where("in_core").select("tile", "label", "row", "col")
-    size = own.groupBy("tile", "label").agg(F.count("*").alias("n"))
+    every = objects.where("in_core").select("tile", "label", "row", "col")
+    hashed = lambda seed: F.xxhash64(F.col("row").cast("long"), F.col("col").cast("long"), F.lit(seed))
+    marks = {"n": F.count("*"), "_x": F.bit_xor(hashed(1)), "_s": F.try_sum(F.shiftright(hashed(2), 24))} | {f"_{c}{i}": f(c) for c in ("row", "col") for i, f in enumerate((F.min, F.max))}
+    each = every.groupBy("tile", "label").agg(*(c.alias(name) for name, c in marks.items()))
+    size = cut(each.groupBy(*marks).agg(F.min(F.struct("tile", "label")).alias("_o")).select("_o.*", "n"))
+    own = every.join(size, ["tile", "label"], "left_semi")
     a, b = (own.select(F.col("tile").alias(f"tile_{s}"), F.col("label").alias(f"label_{s}"), "row", "col") for s in "ab")
     first = (F.col("tile_a") < F.col("tile_b")) | ((F.col("tile_a") == F.col("tile_b")) & (F.col("label_a") < F.col("label_b")))
     shared = a.join(b, ["row", "col"]).where(first).groupBy("tile_a", "label_a", "tile_b", "label_b").agg(F.count("*").alias("k"))

@@ -451,8 +451,7 @@ def a53(spark, d):
     for name in ("cells", "nuclei"):
         part = getattr(roles, name)(spark, d).withColumn("layer", F.lit(name))
         layers = part if layers is None else layers.unionByName(part)
-    hit = S.in_shapes(roles.transcripts(spark, d).select("gene", "x", "y"), S.with_outline(layers, roles.ring()))
-    counted = hit.groupBy("layer", "instance_id", "gene").agg(F.count("*").alias("n")).withColumn("mode", F.lit("counted"))
+    counted = S.counts_in_shapes(roles.transcripts(spark, d), S.with_outline(layers, roles.ring()), ["layer", "instance_id"], ["gene"]).withColumn("mode", F.lit("counted"))
     reused = roles.counts(spark, d).select(F.lit("own").alias("layer"), (F.col("cell_id") + 1).alias("instance_id"), "gene", "n", F.lit("reused").alias("mode"))
     return counted.unionByName(reused).groupBy("layer", "mode").agg(F.countDistinct("instance_id").alias("n_shapes"), F.sum("n").alias("total"), F.countDistinct("gene").alias("n_genes"))
 

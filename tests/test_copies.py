@@ -3,7 +3,11 @@
 import random
 import time
 
+from pyspark.sql import functions as F
+
+from punctata import roles
 from punctata.operators import rasters
+from punctata.operators import spatial as S
 
 
 def _kept(objects, iou=0.25, overlap=0.5):
@@ -30,3 +34,32 @@ def test_stitch_of_very_many_copies_ends(spark):
     began = time.time()
     assert [(r.tile, r.label) for r in rasters.stitch(rows).collect()] == [(0, 0)]
     assert time.time() - began < 60
+
+
+def _boxes(rows):
+    return S.with_outline(rows, roles.ring())
+
+
+def test_points_in_very_many_equal_shapes(spark):
+    """20,000 points in 5,000 boxes of one outline and in a triangle: 100,000,000 pairs, none of which is made."""
+    shapes = _boxes(spark.range(5000).selectExpr("id AS shape", "0e0 AS cx", "0e0 AS cy", "2e0 AS half"))
+    points = spark.range(20_000).selectExpr("id", "'g' AS gene", "id % 97 / 100 AS x", "id % 89 / 100 AS y", "7L AS prior")
+    points = points.withColumns({c: F.col(c).cast("double") for c in "xy"})
+    began = time.time()
+    per = S.count_covering(points, shapes, "id", "n").groupBy("n").count().collect()
+    assert [tuple(r) for r in per] == [(255, 20_000)]
+    masks = S.overlap_assignment(points, shapes.withColumn("mask", F.col("shape") % 3), "id", "mask", "prior").groupBy("n_masks", "source").count().collect()
+    assert [tuple(r) for r in masks] == [(3, "ambiguous_overlap", 20_000)]
+    counted = S.counts_in_shapes(points, shapes, ["shape"], ["gene"]).groupBy("gene", "n").count().collect()
+    assert [tuple(r) for r in counted] == [("g", 20_000, 5000)]
+    assert time.time() - began < 60
+
+
+def test_rectangles_and_rings_of_four_segments(spark):
+    rings = {1: [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)], 2: [(0, 0), (0, 4), (4, 4), (4, 0), (0, 0)], 3: [(0, 2), (2, 0), (4, 2), (2, 4), (0, 2)], 4: [(0, 0), (4, 0), (4, 0), (0, 0), (0, 0)], 5: [(0, 0), (4, 0), (2, 0), (2, 4), (0, 0)]}
+    shapes = S.with_outline(spark.createDataFrame([(k, [(float(x), float(y)) for x, y in v]) for k, v in rings.items()], "shape int, ring array<struct<x: double, y: double>>"), "ring").drop("ring")
+    spots = {1: (2.0, 2.0), 2: (0.0, 1.0), 3: (4.0, 4.0), 4: (3.5, 3.5), 5: (1.0, 0.0), 6: (0.5, 0.25)}
+    points = spark.createDataFrame([(k, *at) for k, at in spots.items()], "id int, x double, y double")
+    found = lambda edges: sorted((r.shape, r.id) for r in S.in_shapes(points, shapes, edges).collect())
+    assert found(False) == [(1, 1), (1, 4), (1, 6), (2, 1), (2, 4), (2, 6), (3, 1), (5, 6)]
+    assert found(True) == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (1, 6), (2, 1), (2, 2), (2, 3), (2, 4), (2, 5), (2, 6), (3, 1), (4, 5), (5, 1), (5, 5), (5, 6)]

@@ -63,3 +63,44 @@ def test_rectangles_and_rings_of_four_segments(spark):
     found = lambda edges: sorted((r.shape, r.id) for r in S.in_shapes(points, shapes, edges).collect())
     assert found(False) == [(1, 1), (1, 4), (1, 6), (2, 1), (2, 4), (2, 6), (3, 1), (5, 6)]
     assert found(True) == [(1, 1), (1, 2), (1, 3), (1, 4), (1, 5), (1, 6), (2, 1), (2, 2), (2, 3), (2, 4), (2, 5), (2, 6), (3, 1), (4, 5), (5, 1), (5, 5), (5, 6)]
+
+
+def test_pairs_of_copies(spark):
+    """50,000 points at four places, 625,000,000 pairs a place: they are counted, not made."""
+    points = spark.range(200_000).selectExpr("id", "'g' AS gene", "CAST(id % 2 * 3 AS DOUBLE) AS x", "CAST(id DIV 2 % 2 * 4 AS DOUBLE) AS y")
+    began = time.time()
+    n = 50_000
+    got = {r.band: r.n for r in S.annular_counts(points, "id", [0.0, 1.0, 3.0, 5.0], ["gene"]).collect()}
+    assert got == {0: 4 * n * (n - 1) // 2, 1: 2 * n * n, 2: 4 * n * n}
+    around = sorted((r.id, r.n) for r in S.points_within(points, "id", 3.0).collect())
+    assert around == [(i, 2 * n) for i in range(4)]
+    assert time.time() - began < 60
+
+
+def test_pairs_by_brute_force(spark):
+    r = random.Random(9)
+    rows = [(i, i % 2, r.randrange(-40, 40) / 4, r.randrange(-40, 40) / 4) for i in range(300)] + [(900, 0, None, 1.0), (901, 0, float("nan"), 1.0), (902, 0, float("inf"), 1.0)]
+    points = spark.createDataFrame(rows, "id long, g long, x double, y double")
+    for reach in (0.25, 1.0, 2.5, 30.0):
+        want = sorted((a[0], b[0]) for a in rows[:300] for b in rows[:300] if a[0] < b[0] and a[1] == b[1] and (a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2 <= reach * reach)
+        assert sorted((p.a, p.b) for p in S.pairs_within(points, "id", reach, ["g"]).collect()) == want
+        assert {(x.band, x.n) for x in S.annular_counts(points, "id", [0.0, reach], ["g"]).groupBy("band").agg(F.sum("n").alias("n")).collect()} == {(0, len(want))}
+
+
+def test_numbers_move_rows_once(spark):
+    """One exchange of the rows; the number follows from the place that was written."""
+    from punctata.operators.ids import stable_ids
+
+    rows = spark.range(5000).selectExpr("id * 37 % 5000 AS k", "repeat('a', 9) AS text")
+    out = stable_ids(rows, ["k"], "n", first=1, keep=["k"])
+    assert "hashpartitioning(_part" not in out._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert out.columns == ["k", "n"] and out.where("n <> k + 1").count() == 0 and out.count() == 5000
+
+
+def test_thinned_by_a_bound(spark):
+    from punctata.operators.patterns import thinned
+
+    points = spark.range(40_000).selectExpr("id AS transcript_id", "CASE WHEN id % 100 > 0 THEN 'large' WHEN id % 200 > 0 THEN 'small' END AS gene")
+    got = {(r.gene, r.transcript_id) for r in thinned(points, 300, 3).select("gene", "transcript_id").collect()}
+    ranked = points.selectExpr("*", "row_number() OVER (PARTITION BY gene ORDER BY xxhash64(transcript_id, gene, 3), transcript_id) AS n").where("n <= 300")
+    assert got == {(r.gene, r.transcript_id) for r in ranked.collect()} and len(got) == 700

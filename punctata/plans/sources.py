@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from punctata import roles
-from punctata.functions.session import ensure_checkpoint_dir
+from punctata.functions.session import dealt, ensure_checkpoint_dir
 from punctata.operators.predicates import broad_class
 from punctata.roles import sql, table
 from punctata.sources import readers as R
@@ -71,7 +71,7 @@ _VERTEX = "l_orderkey AS label_id, l_linenumber * 1000000 + l_partkey AS vertex_
 
 
 def s05(spark, d):
-    rows = table(spark, d, "lineitem").selectExpr(*roles._select(_VERTEX.format(d="DOUBLE", s="STRING"))).dropDuplicates(["label_id", "vertex_no"])
+    rows = dealt(table(spark, d, "lineitem").selectExpr(*roles._select(_VERTEX.format(d="DOUBLE", s="STRING"))), "label_id")
     rings = R.vertices_to_rings(rows.groupBy("label_id", "vertex_no").agg(F.min("x").alias("x"), F.min("y").alias("y"), F.min("cell_id").alias("cell_id")))
     return rings.select("label_id", F.size("ring").cast("long").alias("n"), F.element_at("ring", -1)["y"].alias("last_y"), F.aggregate("ring", F.lit(0.0), lambda a, v: a + v.y).alias("sum_y"))
 

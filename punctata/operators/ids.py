@@ -61,12 +61,16 @@ def allocate(rows: DataFrame, internal: str, label: str, name: str = "instance_i
 
 
 def translate(rows: DataFrame, column: str, mapping: DataFrame, old: str, new: str, sentinels: Sequence = (0,)) -> DataFrame:
-    """``column`` through ``mapping``; sentinels and nulls become null, any other unknown id raises."""
-    m = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
-    joined = rows.join(m, F.col(column) == F.col("_old"), "left")
+    """``column`` through ``mapping``; sentinels and nulls become null, any other unknown id raises.
+
+    Sentinels and nulls have no partner, so a join would gather all of them in one task: they don't go through it.
+    """
     none = F.col(column).isNull() | F.col(column).isin(*sentinels)
-    value = F.when(none, F.lit(None)).when(F.col("_old").isNull(), F.raise_error(F.concat(F.lit("unknown id "), F.col(column).cast("string")))).otherwise(F.col("_new"))
-    return joined.withColumn(column, value.cast("long")).drop("_old", "_new")
+    m = mapping.select(F.col(old).alias("_old"), F.col(new).alias("_new"))
+    joined = rows.where(~none).join(m, F.col(column) == F.col("_old"), "left")
+    value = F.when(F.col("_old").isNull(), F.raise_error(F.concat(F.lit("unknown id "), F.col(column).cast("string")))).otherwise(F.col("_new"))
+    known = joined.withColumn(column, value.cast("long")).drop("_old", "_new")
+    return known.unionByName(rows.where(none).withColumn(column, F.lit(None).cast("long")))
 
 
 def violations(shapes: DataFrame, cells: DataFrame, points: DataFrame, key: str = "instance_id", assigned: str = "assignment") -> DataFrame:

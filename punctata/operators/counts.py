@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from punctata.functions.session import cut, dealt
+
 
 def gene_totals(counts: DataFrame, gene: str = "gene", n: str = "n") -> DataFrame:
     return counts.groupBy(gene).agg(F.sum(n).alias("total"))
@@ -104,8 +106,14 @@ def variances(counts: DataFrame, n_cells: DataFrame, value: str = "n") -> DataFr
 
 
 def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row: non-zero differences, their absolute sum, cells that grew, shrank or stayed, ids and genes in one table alone."""
-    both = a.select("cell_id", "gene", F.col("n").alias("na")).join(b.select("cell_id", "gene", F.col("n").alias("nb")), ["cell_id", "gene"], "full_outer")
+    """One row: non-zero differences, their absolute sum, cells that grew, shrank or stayed, ids and genes in one table alone.
+
+    Both tables are dealt by cell, so one exchange serves the difference and the sums of cells. A table has a row for each cell and gene.
+    """
+    none, lost = F.lit(None).cast("long"), F.col("cell_id").isNull() | F.col("gene").isNull()
+    both = a.select("cell_id", "gene", F.col("n").cast("long").alias("na"), none.alias("nb")).unionByName(b.select("cell_id", "gene", none.alias("na"), F.col("n").cast("long").alias("nb")))
+    side = F.when(lost, F.col("na").isNull())  # null keys meet nothing
+    both = dealt(cut(both), "cell_id").groupBy("cell_id", "gene", side.alias("_s")).agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
     d = F.coalesce("nb", F.lit(0)) - F.coalesce("na", F.lit(0))
     rows = both.withColumn("_d", d)
     per_cell = rows.groupBy("cell_id").agg(F.sum("_d").alias("_c"), F.count_if(F.col("_d") != 0).alias("_nnz"), F.sum(F.abs("_d")).alias("_abs"), F.max(F.col("na").isNotNull()).alias("_in_a"), F.max(F.col("nb").isNotNull()).alias("_in_b"))

@@ -440,7 +440,7 @@ def a50_sizes(spark, d):
 
 
 def a51(spark, d):
-    t = roles.transcripts(spark, d)
+    t = roles.transcripts_by_cell(spark, d)
     a, b = (t.where(c).groupBy("cell_id", "gene").agg(F.count("*").alias("n")) for c in ("qv >= 10", "NOT background"))
     return C.table_diff(a, b)
 

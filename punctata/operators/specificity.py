@@ -16,7 +16,8 @@ def detection_fractions(counts: DataFrame, classes: DataFrame, cell: str = "cell
     Only sums by class and gene meet: the rest is a gene's total less its own class.
     """
     sizes = classes.groupBy(label).agg(F.count("*").alias("n_target"))
-    hits = counts.where("n > 0").join(classes, cell).groupBy(label, "gene").agg(F.countDistinct(cell).alias("_k"))
+    seen = counts.where("n > 0").select(cell, "gene").join(classes.select(cell, label), cell).dropDuplicates([cell, label, "gene"])  # where the join has put the cells
+    hits = seen.groupBy(label, "gene").agg(F.count("*").alias("_k"))
     genes = hits.groupBy("gene").agg(F.sum("_k").alias("_all"))
     total = sizes.agg(F.sum("n_target").alias("_n"))
     grid = genes.crossJoin(F.broadcast(sizes)).crossJoin(F.broadcast(total))  # genes x classes is the result's size

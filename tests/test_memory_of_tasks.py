@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from punctata import roles
 from punctata.functions.session import dealt
 from punctata.operators import ids
 from punctata.operators.counts import table_diff
@@ -44,3 +45,12 @@ def test_difference_of_tables_with_null_keys(spark):
     assert "FullOuter" not in plan
     r = out.first()
     assert (r.nnz, r.abs_sum, r.increased, r.decreased, r.same, r.one_sided) == (5, 14, 2, 1, 0, 2)
+
+
+def test_counts_are_made_where_their_cells_are(spark):
+    """The exchange by cell is the only one before the counts of cells and genes."""
+    d = "/root/testdata/sf0.001"
+    plan = roles.counts(spark, d)._jdf.queryExecution().toString()
+    assert "REPARTITION_BY_NUM" in plan and "hashpartitioning(cell_id" not in plan
+    want = roles.transcripts(spark, d).groupBy("cell_id", "gene").count()
+    assert roles.counts(spark, d).exceptAll(want).isEmpty() and want.exceptAll(roles.counts(spark, d)).isEmpty()

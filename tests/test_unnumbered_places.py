@@ -31,3 +31,9 @@ def test_annular_pairs_number_no_rows(spark, unnumbered):
     from punctata.plans import spatial
 
     assert spatial.QUERIES["j26_annular_pairs"](spark, "/root/testdata/sf0.001").agg(F.sum("n")).first()[0] > 0
+
+
+def test_observed_pairs_number_no_rows(spark, unnumbered):
+    from punctata.plans import aggregates
+
+    assert aggregates.QUERIES["a27_observed_pairs"](spark, "/root/testdata/sf0.001").agg(F.sum("n")).first()[0] > 0

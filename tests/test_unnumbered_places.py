@@ -99,3 +99,11 @@ def test_points_of_one_place_share_a_search_of_outlines(spark, searched):
     points, shapes = _copies(spark)
     got = S.nearest_outlines(points, shapes, "id", "shape").groupBy("distance").count().collect()
     assert searched["candidates"] == [30] and sum(r["count"] for r in got) == 3000
+
+
+def test_compartments_ask_each_place_once(spark, searched):
+    points, shapes = _copies(spark)
+    nowhere = points.withColumn("x", F.lit(None).cast("double")).withColumn("id", F.col("id") + 9000).limit(2)
+    got = S.compartments(points.unionByName(nowhere), shapes, shapes.where("shape = 0"), "id", "shape", "shape").groupBy("compartment", "n_cells", F.col("cell_distance").isNull().alias("none")).count().collect()
+    assert searched == {"candidates": [30, 30], "in_shapes": [30, 30]} and sum(r["count"] for r in got) == 3002
+    assert [(r.compartment, r.n_cells, r["count"]) for r in got if r.none] == [("extracellular", 0, 2)]
